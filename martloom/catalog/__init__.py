@@ -1,4 +1,4 @@
 """All registered queries; importing the modules fills the registry."""
 
-from . import rule_queries, source_queries  # noqa: F401
+from . import join_queries, rule_queries, source_queries, star_queries  # noqa: F401
 from .registry import REGISTRY  # noqa: F401

@@ -87,7 +87,7 @@ one_rule("rule_required", R.required("units"), "units", "units IS NULL")
 
 
 def annotated(spark: SparkSession, sf: str) -> DataFrame:
-    return R.annotate(B.landing(spark, sf), B.landing_rules())
+    return R.annotate(B.landing_layer(spark, sf), B.landing_rules())
 
 
 @query("validate_split", sql("SELECT * FROM valid", "valid"))
@@ -123,7 +123,7 @@ def error_rows(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def validation_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.metrics(B.landing(spark, sf), B.landing_rules())
+    return Q.metrics(B.landing_layer(spark, sf), B.landing_rules())
 
 
 @query(
@@ -319,7 +319,7 @@ def recompute_revenue(spark: SparkSession, sf: str) -> DataFrame:
 )
 def rename(spark: SparkSession, sf: str) -> DataFrame:
     rules = [*B.landing_rules(), *[R.required(c) for c in ("date", "units", "unit_price")]]
-    clean = star.transform_transactions(B.landing(spark, sf), rules)
+    clean = star.transform_transactions(B.landing_layer(spark, sf), rules)
     return clean.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 

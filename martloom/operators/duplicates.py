@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import same_keys
+from .ordered import null_safe_join
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -28,16 +28,15 @@ def flag_duplicates(
 ) -> DataFrame:
     """True for every row of a key but the first in ``order`` (which must be unique)."""
     groups = repeated_keys(df, keys, order)
-    joined = df.join(groups, same_keys(df, groups, keys), "left")
-    later = F.col("_first").isNotNull() & (F.struct(*[df[c] for c in order]) != F.col("_first"))
-    return joined.select(*[df[c] for c in df.columns], later.alias(name))
+    joined = null_safe_join(df, groups, keys, "left")
+    later = F.col("_first").isNotNull() & (F.struct(*order) != F.col("_first"))
+    return joined.select(*df.columns, later.alias(name))
 
 
 def all_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Every row whose key occurs more than once, with the size of its group."""
     groups = repeated_keys(df, keys, order)
-    joined = df.join(groups, same_keys(df, groups, keys))
-    return joined.select(*[df[c] for c in df.columns], "group_size")
+    return null_safe_join(df, groups, keys).select(*df.columns, "group_size")
 
 
 def exact_duplicates(df: DataFrame, order: Sequence[str] = ()) -> DataFrame:

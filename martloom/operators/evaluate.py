@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import confidence, outcome, predicted_class, verdict
-from .ordered import BLOCK, average_ranks, range_blocks, same_keys
+from .ordered import BLOCK, average_ranks, null_safe_join, range_blocks
 
 
 def roc_auc(
@@ -218,9 +218,7 @@ def model_table(df: DataFrame, scores: dict[str, str], label: str, split: str) -
     keys = ["model", "split"]
     aucs = roc_auc(long, by=keys)
     fits = threshold_metrics(long, by=keys).select(*keys, "f1", "accuracy")
-    both = aucs.join(fits, same_keys(aucs, fits, keys)).select(
-        aucs["model"], aucs["split"], "auc", "f1", "accuracy"
-    )
+    both = null_safe_join(aucs, fits, keys)
 
     def at(part: str, column: str) -> Column:
         return F.max(F.when(F.col("split") == part, F.col(column)))

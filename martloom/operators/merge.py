@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import same_keys
+from .ordered import null_safe_join
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -43,7 +45,8 @@ def upsert_overwrite(
     """Batch values replace the target's on equal keys; the last row of a key wins."""
     t = target.alias("t")
     s = last_per_key(batch, keys, order).withColumn("_hit", F.lit(True)).alias("s")
-    joined = t.join(s, same_keys_aliased(keys), "full_outer")
+    same = reduce(and_, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
+    joined = t.join(s, same, "full_outer")
     out = []
     for c in target.columns:
         taken = F.when(F.col("s._hit"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
@@ -51,13 +54,6 @@ def upsert_overwrite(
     return joined.select(*out)
 
 
-def same_keys_aliased(keys: Sequence[str]):
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
-    return cond
-
-
 def additive(
     rows: DataFrame,
     keys: Sequence[str],
@@ -80,7 +76,7 @@ def merge_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
     """inserted = keys new to the target, updated = all other accepted rows of the batch."""
     per_key = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     known = target.select(*keys).withColumn("_known", F.lit(True))
-    joined = per_key.join(known, same_keys(per_key, known, keys), "left")
+    joined = null_safe_join(per_key, known, keys, "left")
     fresh = F.count_if(F.col("_known").isNull())
     return joined.agg(
         fresh.alias("inserted"),

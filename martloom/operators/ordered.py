@@ -9,6 +9,8 @@ own range, however large one group is.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,11 +31,13 @@ def range_blocks(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return stage(ranged, "blocks")
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for key in keys:
-        cond = cond & left[key].eqNullSafe(right[key])
-    return cond
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL; the left key columns are kept."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    cond = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys], F.lit(True))
+    return left.join(renamed, cond, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def running_total(
@@ -61,11 +65,9 @@ def running_total(
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     summed = blocks.withColumn("_inside", F.sum(value).over(inside))
-    joined = summed.join(offsets, same_keys(summed, offsets, keys))
+    joined = null_safe_join(summed, offsets, keys)
     return joined.select(
-        *[summed[c] for c in df.columns],
-        (F.col("_inside") + F.col("_before")).alias(running),
-        offsets[total],
+        *df.columns, (F.col("_inside") + F.col("_before")).alias(running), total
     )
 
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import exact_quantiles, same_keys
+from .ordered import exact_quantiles, null_safe_join
 from .profile import unpivot_row
 
 
@@ -78,11 +78,11 @@ def boxplot_stats(df: DataFrame, by: str, value: str, reach: float = 1.5) -> Dat
     rows = df.select(by, v.alias("_v")).filter("_v is not null")
     quartiles = exact_quantiles(rows, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
     counts = rows.groupBy(by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    joined = counts.join(quartiles, same_keys(counts, quartiles, [by]))
+    joined = null_safe_join(counts, quartiles, [by])
     span = F.lit(reach) * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - span, F.col("q3") + span
     inside = F.col("_v").between(low, high)
-    return joined.groupBy(quartiles[by], "q1", "median", "q3").agg(
+    return joined.groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
         F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outlier_count"),

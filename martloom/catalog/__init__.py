@@ -1,4 +1,11 @@
 """All registered queries; importing the modules fills the registry."""
 
-from . import join_queries, rule_queries, source_queries, star_queries  # noqa: F401
+from . import (  # noqa: F401
+    join_queries,
+    load_queries,
+    rule_queries,
+    source_queries,
+    star_queries,
+    study_queries,
+)
 from .registry import REGISTRY  # noqa: F401

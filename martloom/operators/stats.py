@@ -9,6 +9,7 @@ from itertools import combinations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .ordered import exact_quantiles, null_safe_join
 from .profile import unpivot_row
@@ -184,7 +185,7 @@ def t_p_value(t: float, freedom: float) -> float:
     return _incomplete_beta(freedom / 2.0, 0.5, freedom / (freedom + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_value(t: pd.Series, freedom: pd.Series) -> pd.Series:
     """p-values of statistics already aggregated to a few rows."""
     return pd.Series([t_p_value(a, b) for a, b in zip(t.astype(float), freedom.astype(float))])

@@ -215,8 +215,8 @@ def layered_tables(spark: SparkSession, sf: str) -> DataFrame:
     validated = spark.read.parquet(f"{layers}/*/validated")
     tables = {
         "landing": spark.read.parquet(f"{layers}/*/landing"),
-        "valid": validated.filter("is_valid"),
-        "rejected": validated.filter("not is_valid"),
+        "valid": validated.filter(F.col("is_valid").cast("boolean")),
+        "rejected": validated.filter(~F.col("is_valid").cast("boolean")),
         "fact": mart.snapshot(),
     }
     out = None

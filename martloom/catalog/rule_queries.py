@@ -23,7 +23,7 @@ def one_rule(name: str, rule: R.Rule, column: str, where: str) -> None:
     @query(name, sql(text, "landing"))
     def run(spark: SparkSession, sf: str) -> DataFrame:
         rows = B.landing(spark, sf, "row_key", rule.column)
-        errors = Q.error_rows(Q.invalid_rows(R.annotate(rows, [rule])), "row_key")
+        errors = Q.error_rows(Q.invalid_rows(R.annotate(rows, [rule])), [rule], "row_key")
         return errors.select("row_index", "column", "value", "error_type")
 
 
@@ -105,7 +105,7 @@ def validate_split(spark: SparkSession, sf: str) -> DataFrame:
 )
 def error_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Flat errors; the kept original is read back from its JSON."""
-    errors = Q.error_rows(Q.invalid_rows(annotated(spark, sf)), "row_key")
+    errors = Q.error_rows(Q.invalid_rows(annotated(spark, sf)), B.landing_rules(), "row_key")
     original = F.get_json_object("original_data", "$.channel").alias("original_channel")
     return errors.select("row_index", "column", "value", "error_type", original)
 
@@ -132,7 +132,7 @@ def validation_metrics(spark: SparkSession, sf: str) -> DataFrame:
 )
 def error_distribution(spark: SparkSession, sf: str) -> DataFrame:
     return Q.error_distribution(
-        Q.error_rows(Q.invalid_rows(annotated(spark, sf)), "row_key")
+        Q.error_rows(Q.invalid_rows(annotated(spark, sf)), B.landing_rules(), "row_key")
     )
 
 

@@ -166,7 +166,7 @@ def scan_dimension(spark: SparkSession, sf: str) -> DataFrame:
 
 def landing_errors(spark: SparkSession, sf: str) -> DataFrame:
     annotated = annotate(B.landing_layer(spark, sf), B.landing_rules())
-    return Q.error_rows(Q.invalid_rows(annotated), "row_key")
+    return Q.error_rows(Q.invalid_rows(annotated), B.landing_rules(), "row_key")
 
 
 @query(

@@ -1,10 +1,9 @@
 """Declarative row rules that compile to column expressions.
 
-A rule yields a struct (column, value, error_type, error_message) when a cell breaks it and NULL
-otherwise. All rules of a set become one array in a single projection: no UDF and no pass per
-rule. The array keeps its NULL slots, because dropping them takes a lambda and a lambda takes
-the whole rule set out of code generation; whoever explodes the array drops them. Rules skip
-missing cells, except ``required``.
+All rules of a set become one array of flags per row in a single projection: no UDF and no pass
+per rule. Column, value, type and reason of an error are looked up by the flag's position after
+the flags have been exploded, so valid rows never build them and the per-row code stays small
+enough for the JVM to compile. Rules skip missing cells, except ``required``.
 """
 
 from __future__ import annotations
@@ -28,53 +27,45 @@ INVALID_FORMAT = "INVALID_FORMAT"
 REQUIRED = "REQUIRED"
 LATE_ROW = "LATE_ROW"
 
-ERROR_TYPE = "struct<column:string,value:string,error_type:string,error_message:string>"
+NUMBER = "_number_"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``broken`` maps the cell to a boolean; ``message`` maps its text to the reason."""
+    """``broken`` maps the cell (or, for ``numeric`` rules, cell and number) to a boolean;
+    ``reason`` is followed by the value in the error message."""
 
     column: str
     error_type: str
-    broken: Callable[[Column], Column]
-    message: Callable[[Column], Column]
+    broken: Callable[..., Column]
+    reason: str
+    numeric: bool = False
     on_null: bool = False
     severity: str = "error"
 
-    def fails(self) -> Column:
+    def fails(self, number: Column | None = None) -> Column:
         cell = F.col(self.column)
-        hit = self.broken(cell)
+        if self.numeric:
+            hit = self.broken(as_number(cell) if number is None else number)
+        else:
+            hit = self.broken(cell)
         if not self.on_null:
             hit = cell.isNotNull() & hit
         return F.coalesce(hit, F.lit(False))
 
-    def error(self, failed: Column | None = None) -> Column:
-        text = F.col(self.column).cast("string")
-        body = F.struct(
-            F.lit(self.column).alias("column"),
-            text.alias("value"),
-            F.lit(self.error_type).alias("error_type"),
-            self.message(text).alias("error_message"),
-        )
-        return F.when(self.fails() if failed is None else failed, body)
-
 
 def is_date(column: str, pattern: str = "yyyy-MM-dd") -> Rule:
     return Rule(
         column,
         INVALID_DATE_FORMAT,
         lambda c: as_date(c, pattern).isNull(),
-        lambda t: F.concat(F.lit(f"{column} is not a {pattern} date: "), t),
+        f"{column} is not a {pattern} date: ",
     )
 
 
 def is_numeric(column: str) -> Rule:
     return Rule(
-        column,
-        INVALID_TYPE,
-        lambda c: as_number(c).isNull(),
-        lambda t: F.concat(F.lit(f"{column} is not a number: "), t),
+        column, INVALID_TYPE, lambda x: x.isNull(), f"{column} is not a number: ", numeric=True
     )
 
 
@@ -87,8 +78,7 @@ def in_range(
 ) -> Rule:
     """Bounds are inclusive unless ``open_low``; non-numeric cells are left to ``is_numeric``."""
 
-    def broken(c: Column) -> Column:
-        x = as_number(c)
+    def broken(x: Column) -> Column:
         hit = F.lit(False)
         if low is not None:
             hit = hit | ((x <= F.lit(float(low))) if open_low else (x < F.lit(float(low))))
@@ -97,51 +87,36 @@ def in_range(
         return hit
 
     left = "(" if open_low else "["
-    where = f"{column} outside {left}{low}, {high}]: "
-    return Rule(
-        column, OUT_OF_RANGE, broken, lambda t: F.concat(F.lit(where), t), severity=severity
-    )
+    reason = f"{column} outside {left}{low}, {high}]: "
+    return Rule(column, OUT_OF_RANGE, broken, reason, numeric=True, severity=severity)
 
 
 def one_of(column: str, allowed: Sequence[str]) -> Rule:
     values = list(allowed)
-    return Rule(
-        column,
-        INVALID_CATEGORY,
-        lambda c: ~c.isin(values),
-        lambda t: F.concat(F.lit(f"unknown {column}: "), t),
-    )
+    return Rule(column, INVALID_CATEGORY, lambda c: ~c.isin(values), f"unknown {column}: ")
 
 
 def has_text(column: str, token: str = "-") -> Rule:
-    return Rule(
-        column,
-        INVALID_FORMAT,
-        lambda c: ~c.contains(token),
-        lambda t: F.concat(F.lit(f"{column} lacks '{token}': "), t),
-    )
+    return Rule(column, INVALID_FORMAT, lambda c: ~c.contains(token), f"{column} lacks '{token}': ")
 
 
 def required(column: str) -> Rule:
-    return Rule(
-        column,
-        REQUIRED,
-        lambda c: c.isNull(),
-        lambda t: F.lit(f"{column} is missing"),
-        on_null=True,
-    )
+    return Rule(column, REQUIRED, lambda c: c.isNull(), f"{column} is missing", on_null=True)
+
+
+def flag_columns(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with each numeric cell parsed once, and one flag expression per rule over it."""
+    numbers = {r.column: F.col(f"{NUMBER}{r.column}") for r in rules if r.numeric}
+    parsed = df.withColumns({f"{NUMBER}{c}": as_number(F.col(c)) for c in numbers})
+    return parsed, [r.fails(numbers.get(r.column)) for r in rules]
 
 
 def annotate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``is_valid`` and ``errors``, one slot per rule, NULL where the rule holds."""
-    if not rules:
-        empty = F.array().cast(f"array<{ERROR_TYPE}>")
-        return df.withColumns({"is_valid": F.lit(True), "errors": empty})
-    flags = {f"_rule{i}": r.fails() for i, r in enumerate(rules)}
-    broken = reduce(or_, [F.col(f) for f in flags])
-    slots = [r.error(F.col(f)) for f, r in zip(flags, rules)]
-    flagged = df.withColumns(flags)
-    return flagged.withColumns({"is_valid": ~broken, "errors": F.array(*slots)}).drop(*flags)
+    """Add ``is_valid`` and ``broken``, an array with one flag per rule in rule order."""
+    parsed, flags = flag_columns(df, rules)
+    every = reduce(or_, flags, F.lit(False))
+    broken = F.array(*flags).cast("array<boolean>")
+    return parsed.select(*df.columns, (~every).alias("is_valid"), broken.alias("broken"))
 
 
 @dataclass(frozen=True)

@@ -6,14 +6,14 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.rules import Rule, annotate
+from ..functions.rules import Rule, annotate, flag_columns
 
 
 def valid_rows(annotated: DataFrame) -> DataFrame:
-    return annotated.filter("is_valid").drop("is_valid", "errors")
+    return annotated.filter("is_valid").drop("is_valid", "broken")
 
 
 def invalid_rows(annotated: DataFrame) -> DataFrame:
@@ -21,47 +21,68 @@ def invalid_rows(annotated: DataFrame) -> DataFrame:
 
 
 def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, invalid rows with their error array)."""
+    """(valid rows, invalid rows with their flags)."""
     annotated = annotate(df, rules)
     return valid_rows(annotated), invalid_rows(annotated)
 
 
-def fork(df: DataFrame, rules: Sequence[Rule], path: str) -> tuple[DataFrame, DataFrame]:
-    """As ``split``, with the annotated rows written once.
+def fork(
+    df: DataFrame, rules: Sequence[Rule], path: str
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """As ``split``, with the annotated rows written once, plus their counts.
 
     The table is partitioned by outcome, so each branch reads only its own half and the source
-    is evaluated a single time, also after a lost executor.
+    is evaluated a single time, also after a lost executor. The counts are observed by the tasks
+    that write, whose results count once each, and take no job of their own.
     """
     annotated = annotate(df, rules)
-    annotated.write.mode("overwrite").partitionBy("is_valid").parquet(path)
+    seen = Observation()
+    hits = [F.get("broken", F.lit(i)).cast("long") for i in range(len(rules))]
+    counted = annotated.observe(
+        seen,
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if(~F.col("is_valid")).alias("invalid_rows"),
+        F.coalesce(F.sum(reduce(add, hits, F.lit(0))), F.lit(0)).alias("error_count"),
+    )
+    counted.write.mode("overwrite").partitionBy("is_valid").parquet(path)
     back = df.sparkSession.read.schema(annotated.schema).parquet(path)
-    return valid_rows(back), invalid_rows(back)
+    return valid_rows(back), invalid_rows(back), seen.get
 
 
-def error_rows(invalid: DataFrame, row_id: str) -> DataFrame:
-    """One row per broken rule, with the whole original row as JSON."""
-    kept = [c for c in invalid.columns if c != "errors"]
+def error_rows(invalid: DataFrame, rules: Sequence[Rule], row_id: str) -> DataFrame:
+    """One row per broken rule, with the whole original row as JSON. ``rules`` are those the rows
+    were annotated with."""
+    kept = [c for c in invalid.columns if c != "broken"]
     origin = ["source_file"] if "source_file" in kept else []
-    exploded = invalid.select(
+    hits = invalid.select(*kept, F.posexplode("broken").alias("_rule", "_hit")).filter("_hit")
+
+    def per_rule(values: Sequence[str]) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.col("_rule"))
+
+    value = F.lit(None).cast("string")
+    for column in dict.fromkeys(r.column for r in rules):
+        places = [i for i, r in enumerate(rules) if r.column == column]
+        value = F.when(F.col("_rule").isin(places), F.col(column).cast("string")).otherwise(value)
+    return hits.select(
         F.col(row_id).alias("row_index"),
+        per_rule([r.column for r in rules]).alias("column"),
+        value.alias("value"),
+        per_rule([r.error_type for r in rules]).alias("error_type"),
+        F.concat(per_rule([r.reason for r in rules]), F.coalesce(value, F.lit(""))).alias(
+            "error_message"
+        ),
         F.to_json(F.struct(*kept)).alias("original_data"),
         *origin,
-        F.explode("errors").alias("e"),
-    ).filter("e is not null")
-    return exploded.select("row_index", "e.*", "original_data", *origin)
-
-
-def error_count() -> Column:
-    """Broken rules of a row: the error array less its empty slots."""
-    return F.size(F.array_compact("errors")).cast("long")
+    )
 
 
 def metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Row and error counts in one aggregate; the rate counts rows, 0 for an empty input."""
-    hits = {f"_rule{i}": r.fails() for i, r in enumerate(rules)}
+    parsed, flags = flag_columns(df, rules)
+    hits = {f"_rule{i}": f for i, f in enumerate(flags)}
     bad = reduce(or_, [F.col(h) for h in hits], F.lit(False))
     errors = reduce(add, [F.count_if(F.col(h)) for h in hits], F.lit(0).cast("long"))
-    counted = df.withColumns(hits).agg(
+    counted = parsed.withColumns(hits).agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(~bad).alias("valid_rows"),
         F.count_if(bad).alias("invalid_rows"),
@@ -81,7 +102,8 @@ def error_distribution(errors: DataFrame) -> DataFrame:
 
 def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows breaking each rule, without building error records: one aggregate, then unpivot."""
-    hits = [F.count_if(r.fails()).alias(f"r{i}") for i, r in enumerate(rules)]
+    parsed, flags = flag_columns(df, rules)
+    hits = [F.count_if(f).alias(f"r{i}") for i, f in enumerate(flags)]
     names = [(f"r{i}", r) for i, r in enumerate(rules)]
     rows = F.array(
         *[
@@ -94,7 +116,7 @@ def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             for key, r in names
         ]
     )
-    return df.agg(*hits).select(F.inline(rows))
+    return parsed.agg(*hits).select(F.inline(rows))
 
 
 def constraint_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:

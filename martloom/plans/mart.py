@@ -224,13 +224,13 @@ class Mart:
         base = f"{self.root}/layers/batch_id={batch_id}/attempt={attempt}"
         transactions.write.mode("overwrite").parquet(f"{base}/landing")
         landing = self.spark.read.schema(transactions.schema).parquet(f"{base}/landing")
-        needed = [required(x) for x in ("date", "units", "unit_price")]
-        good, bad = Q.fork(landing, [*c.rules, *needed], f"{base}/validated")
+        rules = [*c.rules, *[required(x) for x in ("date", "units", "unit_price")]]
+        good, bad, seen = Q.fork(landing, rules, f"{base}/validated")
         clean = S.typed_transactions(good)
 
         mark = self.marks.get(c.source) if mode == "incremental" else None
         taken, late = new_rows(clean, mark), late_rows(clean, mark)
-        errors = Q.error_rows(bad, c.row_no)
+        errors = Q.error_rows(bad, rules, c.row_no)
         late_errors = late.select(
             F.col(c.row_no).cast("string").alias("row_index"),
             F.lit("transaction_date").alias("column"),
@@ -239,19 +239,9 @@ class Mart:
             F.lit("row is not newer than the high-water mark").alias("error_message"),
             F.to_json(F.struct(*late.columns)).alias("original_data"),
         )
-        counts = landing.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-        invalid = bad.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(Q.error_count()), F.lit(0)).alias("errors"),
-        ).first()
-        summary.update(
-            raw_rows=counts,
-            invalid_rows=invalid["rows"],
-            error_count=invalid["errors"],
-            valid_rows=counts - invalid["rows"],
-        )
-        if c.max_error_rows is not None and invalid["rows"] > c.max_error_rows:
-            raise TooManyErrors(f"{invalid['rows']} invalid rows")
+        summary.update(seen, valid_rows=seen["raw_rows"] - seen["invalid_rows"])
+        if c.max_error_rows is not None and seen["invalid_rows"] > c.max_error_rows:
+            raise TooManyErrors(f"{seen['invalid_rows']} invalid rows")
         if mode == "dry":
             summary.update(loaded_rows=0, inserted=0, updated=0, mark=None)
             return
@@ -286,13 +276,18 @@ class Mart:
             others = self.contributions().filter(F.col("month").isin(months))
             target = others.filter(F.col("batch_id") != batch_id).select(*S.BUSINESS_KEY).distinct()
         inserted = merge_counts(target, written, S.BUSINESS_KEY).first()["inserted"]
-        loaded = placed.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        newer = F.lit(True) if mark is None else F.col("transaction_date") > F.lit(mark)
+        rows = clean.agg(
+            F.count_if(newer).alias("loaded"),
+            F.count_if(~newer).alias("late"),
+            F.max(F.when(newer, F.col("transaction_date"))).alias("top"),
+        ).first()
         summary.update(
-            loaded_rows=loaded,
+            loaded_rows=rows["loaded"],
             inserted=inserted,
-            updated=loaded - inserted,
-            late_rows=late.agg(F.count(F.lit(1)).alias("n")).first()["n"],
-            mark=high_mark(taken, mark) if mode != "batch" else None,
+            updated=rows["loaded"] - inserted,
+            late_rows=rows["late"],
+            mark=None if mode == "batch" else rows["top"] or mark,
         )
 
     def _batch_seq(self, batch_id: str, seq: int) -> int:

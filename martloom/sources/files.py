@@ -47,10 +47,7 @@ class EmptySource(ValueError):
 
 
 def struct_of(types: dict[str, str]) -> T.StructType:
-    out = T.StructType()
-    for name, kind in types.items():
-        out = out.add(name, kind)
-    return out
+    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in types.items()))
 
 
 def landing_struct(types: dict[str, str]) -> T.StructType:

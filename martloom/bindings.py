@@ -104,20 +104,24 @@ def sales(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
         **{c: F.col(c) for c in _MACRO},
     }
     out = table(spark, sf, "lineitem").drop("l_linestatus")
-    if "row_key" in need:
+    if "row_key" in need and not need & {*_ORDER, *_CUSTOMER, *_REGION}:
         out = spread(out)
+    # Buyers meet orders before lineitem does, so the largest table is shuffled once for the order
+    # side and not again by buyer. Both sides of that join grow together: neither is ever the one
+    # to broadcast, whatever the estimate says, and a hot order is split as a skewed partition.
+    if need & {*_ORDER, *_CUSTOMER, *_REGION}:
+        orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+        if need & {*_CUSTOMER, *_REGION}:
+            buyers = table(spark, sf, "customer")
+            if need & set(_REGION):
+                nations = table(spark, sf, "nation").join(
+                    table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+                )
+                buyers = buyers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+            orders = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        out = out.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     if need & {*_PART, "brand"}:
         out = out.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    if need & {*_ORDER, *_CUSTOMER, *_REGION}:
-        out = out.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    if need & {*_CUSTOMER, *_REGION}:
-        buyers = table(spark, sf, "customer")
-        if need & set(_REGION):
-            nations = table(spark, sf, "nation").join(
-                table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-            )
-            buyers = buyers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        out = out.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     if need & set(_MACRO):
         weeks = macro(spark, sf).drop("season_factor")
         out = out.join(weeks, day == F.col("week"), "left")

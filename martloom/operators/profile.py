@@ -45,10 +45,14 @@ def cardinality(df: DataFrame, columns: Sequence[str], approximate: bool = False
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value) pairs; rows, not an array, so the list may be of any length."""
-    pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in columns
-    ]
+    kinds = dict(df.dtypes)
+
+    def text(c: str) -> Column:
+        # Adding zero makes -0.0 and 0.0 one value, as they are everywhere else.
+        value = F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c)
+        return value.cast("string")
+
+    pairs = [F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in columns]
     long = df.select(F.inline(F.array(*pairs)))
     return long.filter("value is not null").distinct()
 

@@ -54,7 +54,10 @@ def error_rows(invalid: DataFrame, rules: Sequence[Rule], row_id: str) -> DataFr
     were annotated with."""
     kept = [c for c in invalid.columns if c != "broken"]
     origin = ["source_file"] if "source_file" in kept else []
-    hits = invalid.select(*kept, F.posexplode("broken").alias("_rule", "_hit")).filter("_hit")
+    whole = F.to_json(F.struct(*kept)).alias("original_data")
+    hits = invalid.select(*kept, whole, F.posexplode("broken").alias("_rule", "_hit")).filter(
+        "_hit"
+    )
 
     def per_rule(values: Sequence[str]) -> Column:
         return F.get(F.array(*[F.lit(v) for v in values]), F.col("_rule"))
@@ -71,7 +74,7 @@ def error_rows(invalid: DataFrame, rules: Sequence[Rule], row_id: str) -> DataFr
         F.concat(per_rule([r.reason for r in rules]), F.coalesce(value, F.lit(""))).alias(
             "error_message"
         ),
-        F.to_json(F.struct(*kept)).alias("original_data"),
+        "original_data",
         *origin,
     )
 

@@ -153,7 +153,9 @@ class Mart:
         products = S.new_products(clean, dims["product"], dims["category"], self.config.prefixes)
         products.write.mode("append").parquet(f"{self.root}/dim_product")
 
-    def refresh_snapshot(self, months: Sequence[int] | None = None) -> None:
+    def refresh_snapshot(
+        self, months: Sequence[int] | None = None, corrected: bool = True
+    ) -> None:
         """Rebuild the compacted fact, for the given months only when there are any.
 
         The rebalance hint lets adaptive execution cut a month that holds most of the rows into
@@ -173,7 +175,7 @@ class Mart:
             .partitionBy("month")
             .parquet(path)
         )
-        if months is None:
+        if months is None or not corrected:
             return
         # A corrected batch may have left a month without any row.
         left = {r["month"] for r in contrib.select("month").distinct().collect()}
@@ -201,24 +203,29 @@ class Mart:
         """
         c = self.config
         seq = int(datetime.now(timezone.utc).timestamp() * 1_000_000)
-        batch_id = batch_id or f"{c.source}-{seq}"
+        named, batch_id = batch_id is not None, batch_id or f"{c.source}-{seq}"
         attempt = uuid.uuid4().hex
         started = datetime.now(timezone.utc).replace(tzinfo=None)
         summary = {"batch_id": batch_id, "mode": mode, "status": "failed"}
+        # A batch id that was loaded before keeps its place in the order of batches.
+        earlier = self._first_seq(batch_id) if named else None
         try:
             self._load(
-                summary, transactions, macro, mode, batch_id, attempt, seq, source_file, check
+                *(summary, transactions, macro, mode, batch_id, attempt, seq),
+                *(seq if earlier is None else earlier, source_file, check),
             )
         except Exception as e:
             self._finish(summary, attempt, started, status="rolled_back", error=str(e))
             raise
         self._finish(summary, attempt, started, status="dry" if mode == "dry" else "success")
         if update_snapshot and mode != "dry":
-            self.refresh_snapshot(None if mode == "full" else self._months(batch_id))
+            again = earlier is not None
+            months = self._months(batch_id) if again else summary["months"]
+            self.refresh_snapshot(None if mode == "full" else months, corrected=again)
         return summary
 
     def _load(
-        self, summary, transactions, macro, mode, batch_id, attempt, seq, source_file, check
+        self, summary, transactions, macro, mode, batch_id, attempt, seq, place, source_file, check
     ) -> None:
         c = self.config
         base = f"{self.root}/layers/batch_id={batch_id}/attempt={attempt}"
@@ -253,7 +260,7 @@ class Mart:
 
         placed = taken.withColumns(
             {
-                "batch_seq": F.lit(self._batch_seq(batch_id, seq)).cast("long"),
+                "batch_seq": F.lit(place).cast("long"),
                 "sale_date": F.col("transaction_date"),
                 "row_no": F.col(c.row_no).cast("string"),
             }
@@ -269,10 +276,10 @@ class Mart:
             check(written)
 
         # Keys of other months cannot meet this batch's, so only its own months are compared.
+        months = [r["month"] for r in written.select("month").distinct().collect()]
         if mode == "full":
             target = written.limit(0)
         else:
-            months = [r["month"] for r in written.select("month").distinct().collect()]
             others = self.contributions().filter(F.col("month").isin(months))
             target = others.filter(F.col("batch_id") != batch_id).select(*S.BUSINESS_KEY).distinct()
         inserted = merge_counts(target, written, S.BUSINESS_KEY).first()["inserted"]
@@ -283,6 +290,7 @@ class Mart:
             F.max(F.when(newer, F.col("transaction_date"))).alias("top"),
         ).first()
         summary.update(
+            months=months,
             loaded_rows=rows["loaded"],
             inserted=inserted,
             updated=rows["loaded"] - inserted,
@@ -290,11 +298,9 @@ class Mart:
             mark=None if mode == "batch" else rows["top"] or mark,
         )
 
-    def _batch_seq(self, batch_id: str, seq: int) -> int:
-        """A retried batch keeps its place in the order of batches."""
-        first = self.contributions().filter(F.col("batch_id") == batch_id)
-        known = first.agg(F.min("batch_seq").alias("s")).first()["s"]
-        return seq if known is None else known
+    def _first_seq(self, batch_id: str) -> int | None:
+        earlier = self.contributions().filter(F.col("batch_id") == batch_id)
+        return earlier.agg(F.min("batch_seq").alias("s")).first()["s"]
 
     def withdraw(self, batch_id: str) -> None:
         """Take a batch out of the fact; its files stay until they are cleaned up."""

@@ -23,11 +23,11 @@ BLOCK = "_block"
 def range_blocks(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Range-partition by ``order`` and keep the partition number as a column.
 
-    The table is written because the bounds come from a sample: two evaluations could cut
+    Adaptive execution joins neighbouring ranges of a small table, so their number follows the
+    data. The table is written because the bounds come from a sample: two evaluations could cut
     differently, and offsets and rows must agree on the cut.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).withColumn(BLOCK, F.spark_partition_id())
+    ranged = df.repartitionByRange(*order).withColumn(BLOCK, F.spark_partition_id())
     return stage(ranged, "blocks")
 
 

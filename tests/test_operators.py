@@ -12,6 +12,16 @@ from martloom.operators import profile as R
 from martloom.operators import stats as S
 
 
+@pytest.fixture(scope="module", autouse=True)
+def several_blocks(spark):
+    """Keep small ranges apart, so that groups spread over blocks."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
 @pytest.fixture(scope="module")
 def hot(spark):
     """1,200 rows, one group of which holds more than a third, with ties and nulls."""
@@ -39,6 +49,12 @@ def test_exact_quantiles(hot):
         assert got[key]["n"] == part["v"].notna().sum()
 
 
+def test_a_group_spreads_over_blocks(hot):
+    blocks = O.range_blocks(hot.filter("v is not null").select("g", "v", "id"), ["g", "v", "id"])
+    per_group = blocks.groupBy("g").agg(F.count_distinct(O.BLOCK).alias("n")).toPandas()
+    assert per_group["n"].max() > 1
+
+
 def test_running_total_and_numbers(spark):
     rows = [(g, i, i % 7) for g in "ab" for i in range(200)]
     df = spark.createDataFrame(rows, "g string, i int, x int")

@@ -12,7 +12,7 @@ from ..operators import quality as Q
 from ..plans.control import BatchLog, DeadLetters, MarkStore
 from ..sources import files as S
 from ..sources.html import html_fragments, pages_until_empty
-from ..workspace import fresh_dir
+from ..workspace import fresh_dir, stage
 from .registry import query
 from .sqltext import sql
 
@@ -354,21 +354,16 @@ def watermark_store(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def batch_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts observed while the rows are written, then one appended log row."""
-    from pyspark.sql import Observation
-
-    seen = Observation("batch")
-    rows = B.sales(spark, sf, "units", "returned").observe(
-        seen,
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("returned") == 1).alias("rejected"),
-    )
-    rows.write.parquet(fresh_dir(spark, "rows"))
+    """Counts of the written rows in one appended log row."""
+    rows = stage(B.sales(spark, sf, "units", "returned"), "rows")
+    seen = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("returned") == 1).alias("rejected")
+    ).first()
     log = BatchLog(spark, fresh_dir(spark, "log"))
     log.append(
         batch_id="nightly",
         status="success",
-        rows_processed=seen.get["n"],
-        rows_rejected=seen.get["rejected"],
+        rows_processed=seen["n"],
+        rows_rejected=seen["rejected"],
     )
     return log.table().select("batch_id", "status", "rows_processed", "rows_rejected")

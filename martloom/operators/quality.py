@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, annotate, flag_columns
@@ -32,21 +32,19 @@ def fork(
     """As ``split``, with the annotated rows written once, plus their counts.
 
     The table is partitioned by outcome, so each branch reads only its own half and the source
-    is evaluated a single time, also after a lost executor. The counts are observed by the tasks
-    that write, whose results count once each, and take no job of their own.
+    is evaluated a single time, also after a lost executor. The counts are taken from the written
+    flags alone.
     """
     annotated = annotate(df, rules)
-    seen = Observation()
+    annotated.write.mode("overwrite").partitionBy("is_valid").parquet(path)
+    back = df.sparkSession.read.schema(annotated.schema).parquet(path)
     hits = [F.get("broken", F.lit(i)).cast("long") for i in range(len(rules))]
-    counted = annotated.observe(
-        seen,
+    counts = back.agg(
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(~F.col("is_valid")).alias("invalid_rows"),
         F.coalesce(F.sum(reduce(add, hits, F.lit(0))), F.lit(0)).alias("error_count"),
-    )
-    counted.write.mode("overwrite").partitionBy("is_valid").parquet(path)
-    back = df.sparkSession.read.schema(annotated.schema).parquet(path)
-    return valid_rows(back), invalid_rows(back), seen.get
+    ).first()
+    return valid_rows(back), invalid_rows(back), counts.asDict()
 
 
 def error_rows(invalid: DataFrame, rules: Sequence[Rule], row_id: str) -> DataFrame:

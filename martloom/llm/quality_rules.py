@@ -146,26 +146,21 @@ def risk_cutoffs(
 
     ``labelled``: rows with the stratum, whether the label is good (boolean) and the features.
     """
-    levels = [
-        F.struct(
-            F.lit(rate).alias("rule"),
-            F.size(F.filter(F.array(*map(F.lit, GRID)), lambda c, r=rate: F.col(features)[r] > c)).alias("level"),
-        )
-        for rate in RATES
-    ]
+    grid = F.array(*map(F.lit, GRID))
+    exceeded = lambda value: F.size(F.filter(grid, lambda c: value > c))
+    levels = [F.struct(F.lit(r).alias("rule"), exceeded(F.col(features)[r]).alias("level")) for r in RATES]
     counts = (
         labelled.select(F.col(stratum).alias("stratum"), F.col(good).alias("good"), F.explode(F.array(*levels)).alias("x"))
         .groupBy("stratum", "x.rule", "x.level")
         .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
     )
-    # A document of level L is rejected by the L loosest cutoffs it exceeds; levels count from the
-    # loosest, so cutoff i (from 0) rejects all levels above i. Grids are short: one row per rule.
+    # A level counts the cutoffs that a rate exceeds, which are the last (strictest) of the grid, so
+    # cutoff i rejects the levels from len(GRID) - i on.
+    counts = stage(counts, "levels")
     cutoff = F.explode(F.expr(f"sequence(0, {len(GRID) - 1})"))
     per_rule = counts.groupBy("stratum", "rule").agg(
         F.collect_list(F.struct("level", "good", "bad")).alias("levels"), F.sum("good").alias("n")
     )
-    # The strictest cutoffs have the smallest value, and exceeding them is easiest: level counts the
-    # cutoffs exceeded, which are the last ones of the grid.
     size = len(GRID)
     rejected = lambda c: F.aggregate(
         F.filter("levels", lambda x: x["level"] >= size - F.col("i")), F.lit(0).cast("long"), lambda a, x: a + x[c]
@@ -173,11 +168,10 @@ def risk_cutoffs(
     tested = per_rule.withColumn("i", cutoff).select(
         "stratum", "rule", "n", "i", rejected("good").alias("k"), rejected("bad").alias("caught")
     )
-    strata = counts.agg(F.count_distinct(F.struct("stratum")).alias("strata"))
+    strata = counts.agg(F.count_distinct("stratum")).scalar()
     each = risk / len(RATES)
-    judged = tested.join(strata, F.lit(True), "left").withColumn(
-        "refuted",
-        binomial_log_cdf(F.col("k"), F.col("n"), each) <= F.log(F.lit(confidence) / (len(RATES) * F.col("strata"))),
+    judged = tested.withColumn(
+        "refuted", binomial_log_cdf(F.col("k"), F.col("n"), each) <= F.log(F.lit(confidence) / (len(RATES) * strata))
     )
     failed = (
         judged.groupBy("stratum", "rule")
@@ -191,7 +185,6 @@ def risk_cutoffs(
         )
         .where(F.col("best.gain") > 0)
     )
-    grid = F.array(*map(F.lit, GRID))
     return failed.groupBy("stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("rule", F.get(grid, -F.col("best.loose"))))).alias("cutoffs")
     )

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_dir
-from . import chat, html_text, warc
-from .common import table
+from . import chat, html_text, language, quality_rules, toxicity, warc
+from .common import table, text_crc
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -94,3 +94,22 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_main_text")
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), text_crc("doc_id") % 5 != 0)
+    return toxicity.score(docs, model).withColumn("held_out", text_crc("doc_id") % 5 == 0)
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_language")
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, text_crc("doc_id") % 4 != 2)
+    return language.label(docs, model).select("doc_id", (text_crc("doc_id") % 4 == 2).alias("held_out"), "lang_pred", "score")

@@ -22,3 +22,19 @@ def text_crc(column: str) -> Column:
 def partitions_for(rows: int, per_task: int) -> int:
     """Number of blocks that keeps each near ``per_task`` rows."""
     return max(1, -(-rows // per_task))
+
+
+def beside(small: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """A written table of narrow rows as a join side: sent to all tasks if it has at most
+    ``max_rows`` rows (tens of MB), else left to a shuffled join."""
+    if small.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(small)
+    return small
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import stage
-from .common import SPACE
+from .common import SPACE, free_name
 
 # Fixed values of the contract.
 SYMBOLS = r"[#*$%&|<>]+"
@@ -41,13 +41,6 @@ RATES = ("symbol_rate", "dup_line_rate", "repeat_rate", "capital_rate")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def free_name(df: DataFrame, base: str) -> str:
-    taken = {c.lower() for c in df.columns}
-    while base.lower() in taken:
-        base = f"_{base}"
-    return base
-
-
 def _repeat_words(hashes: Column, ordered: Column) -> Column:
     """Words within windows whose hash occurs more than once; ``ordered`` is (hash, start) sorted."""
     at = lambda i: F.get(ordered, i)["h"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_dir
-from . import chat, html_text, language, quality_rules, toxicity, warc
+from . import chat, html_text, language, ngram_join, quality_rules, toxicity, warc
 from .common import table, text_crc
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -113,3 +113,9 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs, text_crc("doc_id") % 4 != 2)
     return language.label(docs, model).select("doc_id", (text_crc("doc_id") % 4 == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_ngram_join")
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.link(table(spark, sf_dir, "documents"), k=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_dir
-from . import chat, html_text, language, ngram_join, quality_rules, toxicity, warc
+from . import bpe, chat, html_text, language, ngram_join, packing, quality_rules, topk, toxicity, warc
 from .common import table, text_crc
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -119,3 +120,33 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.link(table(spark, sf_dir, "documents"), k=3, percent=90)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(x::DOUBLE * 256) FOR x IN embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@query("op4_top_k", OP4_SQL)
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+@query("op3_bpe")
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op2_packing")
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))

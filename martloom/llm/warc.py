@@ -11,8 +11,9 @@ in any store that Spark reaches. Reading holds one archive file per task at a ti
 large as the shuffle partitions that they are written from.
 
 Equal payloads are found by their SHA-1 over slim rows without the html; a hot payload only meets a
-map-side combined maximum and a join that adaptive execution may split. The html itself is shuffled
-once, by page and digest.
+map-side combined maximum and a join that adaptive execution may split. What results, the pages with a
+payload that others hold too, is joined to the html: sent to it if the planner finds it small, else by a
+shuffle of the html.
 
 Defined results: null html is an empty payload, a null url has no target URI, repeated rows of a page
 are captures of their own (the first is the response, the others revisit it), null page ids count as
@@ -30,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..workspace import stage
+
 # Fixed values of the WARC format and of RFC 4648's base32 alphabet.
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -71,27 +74,40 @@ def captures(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     ).withColumns({"digest": sha1_base32(F.col("html")), "payload_bytes": F.octet_length("html").cast("long")})
     slim = rows.select("page_id", "digest", "payload_bytes")
     shared = (
-        slim.where(F.col("payload_bytes") >= min_revisit_bytes)
-        .groupBy("digest")
-        .agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("_copies"))
+        slim.groupBy("digest")
+        .agg(
+            F.max("page_id").alias("winner"),
+            (F.max("payload_bytes") >= min_revisit_bytes).alias("_large"),
+            F.count(F.lit(1)).alias("_copies"),
+        )
         .where("_copies > 1")
-        .select("digest", "winner")
+        .select("digest", "winner", "_large")
     )
-    refers = (
+    # A written table, so that the planner knows its size: small, it goes to the pages; otherwise both
+    # sides are shuffled by page and digest.
+    refers = stage(
         slim.join(shared, "digest")
         .groupBy(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"))
-        .agg(F.max("winner").alias("winner"), F.lit(True).alias("_shared"))
+        .agg(
+            F.max("winner").alias("winner"),
+            F.max("_large").alias("_large"),
+            (F.count(F.lit(1)) > 1).alias("_repeated"),
+        ),
+        "refers",
     )
     joined = rows.join(
         refers, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest")), "left"
     )
-    order = Window.partitionBy("page_id", "digest").orderBy("url")
-    copy = F.row_number().over(order)
+    repeated = F.coalesce(F.col("_repeated"), F.lit(False))
+    numbered = joined.where(~repeated).withColumn("_copy", F.lit(1))
+    if refers.where("_repeated").limit(1).count():
+        order = Window.partitionBy("page_id", "digest").orderBy("url")
+        numbered = numbered.unionByName(joined.where(repeated).withColumn("_copy", F.row_number().over(order)))
     name = lambda page, digest, k: F.concat(
         F.lit("<urn:capture:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(":"), digest, F.lit(":"), k.cast("string")
     )
     first = F.col("winner").eqNullSafe(F.col("page_id")) & (F.col("_copy") == 1)
-    return joined.withColumn("_copy", copy).select(
+    return numbered.select(
         "page_id",
         "url",
         "html",
@@ -99,7 +115,7 @@ def captures(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
         "payload_bytes",
         F.concat(name(F.col("page_id"), F.col("digest"), F.col("_copy"))).alias("capture"),
         F.when(
-            F.coalesce(F.col("_shared"), F.lit(False)) & ~first, name(F.col("winner"), F.col("digest"), F.lit(1))
+            F.coalesce(F.col("_large"), F.lit(False)) & ~first, name(F.col("winner"), F.col("digest"), F.lit(1))
         ).alias("refers_to"),
     )
 

@@ -183,14 +183,16 @@ def risk_cutoffs(
     )
 
 
-def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with ``_quality`` (counts, rates, base_failed and kept).
+def judge(
+    docs: DataFrame, labels: DataFrame, columns: list[str], stratum: str = "lang", doc_id: str = "doc_id", **options
+) -> tuple[DataFrame, str]:
+    """``columns`` of ``docs`` and a struct (counts, rates, base_failed and kept), and its name.
 
     Features are computed once, into a written table, from which both the cutoffs and the verdicts
     are read.
     """
     into = free_name(docs, "_quality")
-    rows = stage(with_features(docs, into=into), "quality")
+    rows = stage(with_features(docs, into=into).select(*dict.fromkeys([doc_id, stratum, *columns]), into), "quality")
     marks = labels.groupBy(F.col("doc_id").alias("_label_of")).agg(F.max("quality").alias("_label"))
     strata = F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("null"))
     labelled = (
@@ -213,12 +215,12 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str
 
 
 def report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    rows, into = judge(docs, labels, **options)
+    rows, into = judge(docs, labels, ["doc_id"], **options)
     f = F.col(into)
     return rows.select("doc_id", *[f[c].alias(c) for c in COUNTS], f["base_failed"].alias("base_failed"), f["kept"].alias("kept"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that the rules keep, with the columns of ``docs``."""
-    rows, into = judge(docs, labels, **options)
+    rows, into = judge(docs, labels, docs.columns, **options)
     return rows.where(F.col(into)["kept"]).select(*docs.columns)

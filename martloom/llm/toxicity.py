@@ -21,7 +21,7 @@ characters each; their texts go to the driver. Every document is scored as a who
 
 Defined results: null and empty texts and texts without a letter get the share of toxic labels as
 their score, repeated rows score alike, of several labels of a document the largest counts, without
-labels every score is 0, an empty table gives no rows, further columns are ignored.
+labels every score is 0 (below 1e-9), an empty table gives no rows, further columns are ignored.
 """
 
 from __future__ import annotations

@@ -152,26 +152,26 @@ def weekly_with_macro(spark: SparkSession, sf: str) -> DataFrame:
     "next_period_join",
     sql(
         """SELECT a.team, a.year, a.win_rate, b.win_rate AS next_win_rate
-        FROM panel a JOIN panel b ON a.team = b.team AND b.year = a.year + 1""",
-        "panel",
+        FROM panel_gap a JOIN panel_gap b ON a.team = b.team AND b.year = a.year + 1""",
+        "panel_gap",
     ),
 )
 def next_period_join(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = P.next_period_join(B.panel(spark, sf), "win_rate", "next_win_rate")
+    pairs = P.next_period_join(B.panel_with_gap(spark, sf), "win_rate", "next_win_rate")
     return pairs.select("team", "year", "win_rate", "next_win_rate")
 
 
 @query(
     "unpaired_rows",
     sql(
-        """SELECT a.year, count(*) AS unpaired_rows FROM panel a
-        LEFT JOIN panel b ON a.team = b.team AND b.year = a.year + 1
+        """SELECT a.year, count(*) AS unpaired_rows FROM panel_gap a
+        LEFT JOIN panel_gap b ON a.team = b.team AND b.year = a.year + 1
         WHERE b.team IS NULL GROUP BY 1""",
-        "panel",
+        "panel_gap",
     ),
 )
 def unpaired_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return P.unpaired_by_period(B.panel(spark, sf))
+    return P.unpaired_by_period(B.panel_with_gap(spark, sf))
 
 
 @query(
@@ -566,14 +566,14 @@ def broadcast_group_stat(spark: SparkSession, sf: str) -> DataFrame:
         """
         SELECT team, year, win_rate, next_win_rate FROM (
           SELECT team, year, win_rate, lead(win_rate) OVER w AS next_win_rate,
-            lead(year) OVER w AS next_year FROM panel
+            lead(year) OVER w AS next_year FROM panel_gap
           WINDOW w AS (PARTITION BY team ORDER BY year)) WHERE next_year = year + 1
         """,
-        "panel",
+        "panel_gap",
     ),
 )
 def lead_label(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = P.lead_pairs(B.panel(spark, sf), "win_rate", "next_win_rate")
+    pairs = P.lead_pairs(B.panel_with_gap(spark, sf), "win_rate", "next_win_rate")
     return pairs.select("team", "year", "win_rate", "next_win_rate")
 
 
@@ -687,10 +687,14 @@ def coverage_gap(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "missing_years",
-    sql("SELECT DISTINCT year FROM panel EXCEPT SELECT year FROM pairs", "panel", "pairs"),
+    sql(
+        """SELECT DISTINCT year FROM panel_gap EXCEPT
+        SELECT a.year FROM panel_gap a JOIN panel_gap b ON a.team = b.team AND b.year = a.year + 1""",
+        "panel_gap",
+    ),
 )
 def missing_years(spark: SparkSession, sf: str) -> DataFrame:
-    rows = B.panel(spark, sf)
+    rows = B.panel_with_gap(spark, sf)
     paired = P.next_period_join(rows, "win_rate", "next_win_rate")
     return rows.select("year").distinct().subtract(paired.select("year"))
 

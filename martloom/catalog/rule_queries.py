@@ -41,9 +41,9 @@ one_rule(
 )
 one_rule(
     "rule_units_range",
-    R.in_range("units", 1, 45),
+    R.in_range("units", *B.BOUNDS.units),
     "units",
-    "try_cast(units AS double) < 1 OR try_cast(units AS double) > 45",
+    "try_cast(units AS double) < 1 OR try_cast(units AS double) > 49",
 )
 one_rule(
     "rule_price_type",
@@ -59,28 +59,28 @@ one_rule(
 )
 one_rule(
     "rule_region",
-    R.one_of("region", B.ALLOWED_REGIONS),
+    R.one_of("region", B.REGIONS),
     "region",
-    "region NOT IN ('AFRICA', 'AMERICA', 'EUROPE', 'MIDDLE EAST')",
+    "region NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')",
 )
 one_rule(
     "rule_category",
-    R.one_of("product_category", B.ALLOWED_CATEGORIES),
+    R.one_of("product_category", B.CATEGORIES),
     "product_category",
-    "product_category NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD')",
+    "product_category NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD')",
 )
 one_rule("rule_channel", R.one_of("channel", ["pro_dealer"]), "channel", "channel <> 'pro_dealer'")
 one_rule(
     "rule_customer",
-    R.one_of("customer_type", B.ALLOWED_CUSTOMERS),
+    R.one_of("customer_type", B.CUSTOMERS),
     "customer_type",
-    "customer_type NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')",
+    "customer_type NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')",
 )
 one_rule(
     "rule_lumber",
-    R.in_range("lumber_price_index", 480, 520),
+    R.in_range("lumber_price_index", *B.BOUNDS.lumber_price_index),
     "lumber_price_index",
-    "cast(lumber_price_index AS double) < 480 OR cast(lumber_price_index AS double) > 520",
+    "cast(lumber_price_index AS double) < 400 OR cast(lumber_price_index AS double) > 620",
 )
 one_rule("rule_sku_format", R.has_text("sku"), "sku", "strpos(sku, '-') = 0")
 one_rule("rule_required", R.required("units"), "units", "units IS NULL")

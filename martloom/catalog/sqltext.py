@@ -71,9 +71,14 @@ CTES = {
           CASE WHEN discount = 0.1::double AND tax = 0.08::double THEN strftime(date, '%Y/%m/%d')
             ELSE strftime(date, '%Y-%m-%d') END AS date,
           cast(year AS varchar) AS year, cast(month AS varchar) AS month,
-          cast(week_of_year AS varchar) AS week_of_year, region, product_category,
+          cast(week_of_year AS varchar) AS week_of_year,
+          CASE WHEN discount = 0.01::double AND tax = 0.0::double THEN 'ATLANTIS' ELSE region END
+            AS region,
+          CASE WHEN discount = 0.02::double AND tax = 0.0::double THEN 'OTHER'
+            ELSE product_category END AS product_category,
           CASE WHEN brand = 'Brand#13' THEN replace(sku, '-', '') ELSE sku END AS sku,
-          channel, customer_type,
+          channel, CASE WHEN discount = 0.03::double AND tax = 0.0::double THEN 'PIRATES'
+            ELSE customer_type END AS customer_type,
           CASE WHEN discount = 0.0::double AND tax = 0.08::double THEN 'twelve'
             WHEN discount = 0.0::double AND tax = 0.0::double THEN NULL
             ELSE cast(units AS varchar) END AS units,
@@ -99,7 +104,7 @@ CTES = {
         FROM landing WHERE units IS NOT NULL AND try_cast(units AS double) IS NULL
         UNION ALL
         SELECT row_key, 'units', units, 'OUT_OF_RANGE'
-        FROM landing WHERE try_cast(units AS double) < 1 OR try_cast(units AS double) > 45
+        FROM landing WHERE try_cast(units AS double) < 1 OR try_cast(units AS double) > 49
         UNION ALL
         SELECT row_key, 'unit_price', unit_price, 'INVALID_TYPE'
         FROM landing WHERE unit_price IS NOT NULL AND try_cast(unit_price AS double) IS NULL
@@ -109,22 +114,24 @@ CTES = {
           OR try_cast(unit_price AS double) > 100000
         UNION ALL
         SELECT row_key, 'region', region, 'INVALID_CATEGORY'
-        FROM landing WHERE region NOT IN ('AFRICA', 'AMERICA', 'EUROPE', 'MIDDLE EAST')
+        FROM landing WHERE region NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')
         UNION ALL
         SELECT row_key, 'product_category', product_category, 'INVALID_CATEGORY'
         FROM landing
-        WHERE product_category NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD')
+        WHERE product_category NOT IN
+          ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD')
         UNION ALL
         SELECT row_key, 'channel', channel, 'INVALID_CATEGORY'
         FROM landing WHERE channel NOT IN ('big_box_diy', 'pro_dealer')
         UNION ALL
         SELECT row_key, 'customer_type', customer_type, 'INVALID_CATEGORY'
         FROM landing
-        WHERE customer_type NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')
+        WHERE customer_type NOT IN
+          ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
         UNION ALL
         SELECT row_key, 'lumber_price_index', lumber_price_index, 'OUT_OF_RANGE'
-        FROM landing WHERE try_cast(lumber_price_index AS double) < 480
-          OR try_cast(lumber_price_index AS double) > 520
+        FROM landing WHERE try_cast(lumber_price_index AS double) < 400
+          OR try_cast(lumber_price_index AS double) > 620
         UNION ALL
         SELECT row_key, 'sku', sku, 'INVALID_FORMAT'
         FROM landing WHERE sku IS NOT NULL AND strpos(sku, '-') = 0
@@ -255,11 +262,11 @@ CTES = {
             count(*) FILTER (o_orderstatus = 'P') AS p,
             count(*) FILTER (o_orderpriority = '5-LOW') AS low,
             count(DISTINCT o_custkey) AS buyers
-          FROM orders JOIN customer ON o_custkey = c_custkey
-          WHERE year(o_orderdate) <> 1998 GROUP BY 1, 2)
+          FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
         JOIN nation ON c_nationkey = n_nationkey
         """,
     ),
+    "panel_gap": (["panel"], "SELECT * FROM panel WHERE year <> 1998"),
     "pairs": (
         ["panel"],
         """

@@ -6,6 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import stage
+from .common import partitions_for
+
+ROWS = 250_000  # edges per written file
+
+
+def narrow(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` narrow rows, in as few partitions as they fill."""
+    return df.coalesce(partitions_for(rows, ROWS))
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -13,27 +21,28 @@ def _smallest(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
 
 
-def components(edges: DataFrame, label: str = "edges") -> DataFrame:
-    """Node and the smallest node of its component, for all nodes but those smallest ones.
+def components(edges: DataFrame, rows: int, label: str = "edges") -> tuple[DataFrame, int]:
+    """Node and the smallest node of its component, for all nodes but those smallest ones, and
+    how many rows that makes.
 
-    ``edges``: columns ``a`` and ``b``. Every round links each node's neighbours to its smallest
+    ``edges``: about ``rows`` rows with columns ``a`` and ``b``. Every round links each node's neighbours to its smallest
     one, first the larger neighbours, then the smaller; it ends when nothing changes, after about as
     many rounds as the logarithm of the longest path. Each step is a map-side combined minimum and
     a join that adaptive execution may split, so a node with most edges is no hot group; each round is
     written, which cuts the lineage.
     """
-    now = stage(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label
-    )
+    first = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    now = stage(narrow(first, rows), label)
     before = None
     while True:
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if seen == before or not seen[0]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component")), seen[0]
         before = seen
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_smallest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         least = _smallest(large)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stage(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), label)
+        after = small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        now = stage(narrow(after, seen[0]), label)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..workspace import stage
 from .common import beside, free_name, partitions_for
-from .components import components
+from .components import ROWS, components, narrow
 from .shingles import groups, mix, shingle_set
 
 ONE = np.uint64(1)
@@ -370,29 +370,30 @@ def link(documents: DataFrame, k: int, percent: int, doc_id: str = "doc_id", tex
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(size, KEY_BYTES))
     frequent = spark.sparkContext.broadcast(_frequent(rows, k))
     signed = rows.mapInPandas(_signer(k, percent, buckets, frequent), PACKED)
-    found = stage(signed.groupBy("bucket").applyInPandas(_meet, FOUND), "signed")
+    # Small tables are written by few tasks: their files cost more than their rows.
+    met = signed.groupBy("bucket").applyInPandas(_meet, FOUND)
+    found = stage(met.repartition(partitions_for(4 * size // 1000, ROWS)), "signed")
+    counts = {r["kind"]: r["n"] for r in found.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     pairs = lambda kind: found.where(F.col("kind") == kind).select("a", "b")
-    copies = pairs(COPY)
+    copies, n_copies = pairs(COPY), counts.get(COPY, 0)
     # Only copies in other batches than their smallest id's signed at all; those are left out here.
-    again = stage(copies.select(F.col("b").alias("node")).distinct(), "copies")
-    candidates = components(pairs(EDGE), "candidates")
+    again = stage(narrow(copies.select(F.col("b").alias("node")).distinct(), n_copies), "copies")
+    candidates, n_live = components(pairs(EDGE), counts.get(EDGE, 0), "candidates")
     members = candidates.select(F.col("node").alias("id"), F.col("component").alias("grp")).unionByName(
         candidates.select(F.col("component").alias("id"), F.col("component").alias("grp")).distinct()
     )
     edges = bands(percent, 40)
     docs = found.where((F.col("kind") == DOC) & F.col("a").isNotNull()).groupBy(F.col("a").alias("id")).agg(F.max("b").alias("size"))
-    live = stage(
-        members.join(again, members["id"] == again["node"], "left_anti")
-        .join(docs, "id")
-        .withColumn("band", F.size(F.filter(F.array(*[F.lit(int(x)) for x in edges]), lambda x: x <= F.col("size"))) - 1),
-        "live",
-    )
-    units = stage(_blocks(live, percent), "units")
+    band = F.size(F.filter(F.array(*[F.lit(int(x)) for x in edges]), lambda x: x <= F.col("size"))) - 1
+    signers = members.join(again, members["id"] == again["node"], "left_anti").join(docs, "id").withColumn("band", band)
+    live = stage(narrow(signers, 2 * n_live), "live")
+    units = stage(narrow(_blocks(live, percent), 8 * n_live), "units")
     sets = rows.join(beside(units), "id").mapInPandas(
         _setter(k), "id long, unit string, part string, side int, crossed boolean, elements binary"
     )
-    linked = stage(sets.groupBy("unit").applyInPandas(_verifier(percent), "a long, b long"), "linked")
-    labels = components(linked.unionByName(copies), "links")
+    links = sets.groupBy("unit").applyInPandas(_verifier(percent), "a long, b long")
+    linked = stage(links.repartition(partitions_for(n_live, ROWS)), "linked")
+    labels, _ = components(linked.unionByName(copies), n_live + n_copies, "links")
     return found.where(F.col("kind") == DOC).select(F.col("a").alias("id"), F.col("b").alias("n_shingles")).join(
         labels, F.col("id") == F.col("node"), "left"
     ).select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
@@ -403,16 +404,15 @@ def keep_one(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str =
 
     Of rows that share an id the first by text stays; rows without an id stay.
     """
-    found = stage(link(documents, k, percent, doc_id), "components")
-    gone = stage(found.where("component_id <> id").select(F.col("id").alias("_gone")).distinct(), "gone")
-    twice = stage(
-        found.where("id IS NOT NULL").groupBy(F.col("id").alias("_twice")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "twice"
-    )
+    rows = documents.count()
+    found = stage(narrow(link(documents, k, percent, doc_id), rows), "components")
+    other, again, order = (free_name(documents, c) for c in ("_gone", "_twice", "_order"))
+    gone = stage(narrow(found.where("component_id <> id").select(F.col("id").alias(other)).distinct(), rows), "gone")
+    repeated = found.where("id IS NOT NULL").groupBy(F.col("id").alias(again)).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = stage(narrow(repeated.select(again), rows), "twice")
     key = F.col(doc_id).cast("long")
-    kept = documents.join(beside(gone.withColumnRenamed("_gone", free_name(documents, "_gone"))), key == F.col(free_name(documents, "_gone")), "left_anti")
-    second = beside(twice.select(F.col("_twice").alias(free_name(documents, "_twice"))))
-    match = key == F.col(free_name(documents, "_twice"))
-    order = free_name(documents, "_order")
+    kept = documents.join(beside(gone), key == F.col(other), "left_anti")
+    second, match = beside(twice), key == F.col(again)
     first = (
         kept.join(second, match, "left_semi")
         .withColumn(order, F.row_number().over(Window.partitionBy(key).orderBy("text", *[c for c in documents.columns if c != "text"])))

@@ -304,9 +304,9 @@ def test_words_hash_alike_across_pieces(monkeypatch):
 
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
-    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), 100)[0].collect()}
     assert found == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)}, 201: 200}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long"), 0)[0].count() == 0
 
 
 # --- packing ---

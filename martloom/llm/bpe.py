@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .shingles import groups
 
 LONG = 256
-GROUP_CHARS, PIECE_CHARS, ROUND_WORDS, MEMORY = 4 << 20, 1 << 20, 20_000, 300_000
+GROUP_CHARS, PIECE_CHARS, ROUND_WORDS, MEMORY = 4 << 20, 1 << 20, 40_000, 400_000
 
 # Each round: pairs of neighbours with a rank, the best pair per word, and the words' rows
 # contracted. Rows of words without a pair are done and leave the recursion.
@@ -141,9 +141,11 @@ class Coder:
         self.engine.unregister("given_rows")
 
     def learn(self, words: set[str]) -> None:
-        """Put all words into memory."""
+        """Put all words into memory; a full memory keeps only those of them that it has."""
         if len(self.memory) > MEMORY:
+            kept = {w: self.memory[w] for w in words if w in self.memory}
             self.memory.clear()
+            self.memory.update(kept)
         todo, raw = [], []
         for word in words:
             if word in self.memory:
@@ -208,8 +210,23 @@ class Coder:
         return out
 
 
+_CODERS: dict[str, Coder] = {}
+
+
+def coder_of(shared) -> Coder:
+    """The coder of this worker process, which its next tasks use again."""
+    name, ranks, merges, pattern = shared.value
+    if name not in _CODERS:
+        _CODERS.clear()
+        _CODERS[name] = Coder(ranks, merges, pattern)
+    return _CODERS[name]
+
+
 def _share(df: DataFrame, ranks: dict[bytes, int], pattern: str):
-    return df.sparkSession.sparkContext.broadcast((ranks, merge_pairs(ranks), pattern))
+    """Ranks, merge table and pattern under a name that their content gives."""
+    merges = merge_pairs(ranks)
+    name = hashlib.sha256(b"".join(sorted(ranks, key=ranks.get)) + merges.tobytes() + pattern.encode()).hexdigest()
+    return df.sparkSession.sparkContext.broadcast((name, ranks, merges, pattern))
 
 
 def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -217,7 +234,7 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id:
     shared = _share(documents, ranks, pattern)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = Coder(*shared.value)
+        coder = coder_of(shared)
         for batch in batches:
             found = coder.encode([t or "" for t in batch["text"]])
             ids = [np.array(" ".join(x[1] for x in infos).split(), np.int32) for infos in found]
@@ -233,7 +250,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFra
     shared = _share(encoded, ranks, pattern)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = Coder(*shared.value)
+        coder = coder_of(shared)
         for batch in batches:
             ids = [[] if x is None else x for x in batch["ids"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "data": coder.decode(ids)})
@@ -248,7 +265,7 @@ def round_trip(documents: DataFrame, ranks: dict[bytes, int], pattern: str, doc_
     shared = _share(documents, ranks, pattern)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = Coder(*shared.value)
+        coder = coder_of(shared)
         for batch in batches:
             out = []
             for infos in coder.encode([t or "" for t in batch["text"]]):

@@ -15,7 +15,8 @@ cutoff holds in which stratum is learned from labelled documents:
   the rule stays off and keeps every document.
 
 Counts cover all labelled documents. A stratum may hold most rows: it only meets map-side combined
-counts, and the cutoffs are a written table of a row per stratum whose size the planner sees.
+counts. Strata are few (languages): their counts and cutoffs are written by one task, and the cutoffs'
+size is known to the planner.
 
 Defined results: null text has no words (and fails the base rule of ten words), a null stratum is a
 stratum of its own, repeated rows are judged alike, of several labels of a document the largest counts,
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import stage
-from .common import SPACE, free_name
+from .common import SPACE, beside, free_name
 
 # Fixed values of the contract.
 SYMBOLS = r"[#*$%&|<>]+"
@@ -94,7 +95,9 @@ def with_features(docs: DataFrame, text: str = "text", into: str = "_quality") -
         repeats.alias("n_repeat_words"),
         F.length(F.regexp_replace(body, r"[^\p{Lu}]+", "")).cast("long").alias("n_capitals"),
     )
-    rows = rows.withColumn(o, F.col(o)).withColumn(h, lines).withColumn(into, counts)
+    # An array of one struct, exploded: rates and verdicts read the counts many times, and the optimizer
+    # would otherwise put the expressions behind them in each place.
+    rows = rows.withColumn(h, lines).select(*[c for c in rows.columns if c != h], h, F.explode(F.array(counts)).alias(into))
     f = F.col(into)
     per = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
     dup_lines = f["n_lines"] - f["n_distinct_lines"]
@@ -149,7 +152,7 @@ def risk_cutoffs(
     )
     # A level counts the cutoffs that a rate exceeds, which are the last (strictest) of the grid, so
     # cutoff i rejects the levels from len(GRID) - i on.
-    counts = stage(counts, "levels")
+    counts = stage(counts.coalesce(1), "levels")
     cutoff = F.explode(F.expr(f"sequence(0, {len(GRID) - 1})"))
     per_rule = counts.groupBy("stratum", "rule").agg(
         F.collect_list(F.struct("level", "good", "bad")).alias("levels"), F.sum("good").alias("n")
@@ -184,26 +187,23 @@ def risk_cutoffs(
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, columns: list[str], stratum: str = "lang", doc_id: str = "doc_id", **options
+    docs: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", **options
 ) -> tuple[DataFrame, str]:
-    """``columns`` of ``docs`` and a struct (counts, rates, base_failed and kept), and its name.
+    """``docs`` with a struct (counts, rates, base_failed and kept), and the struct's name.
 
-    Features are computed once, into a written table, from which both the cutoffs and the verdicts
-    are read.
+    Labelled documents are read once for the cutoffs, all documents once for the verdicts; no text
+    is written or shuffled on the way (that of labelled ones is, if labels are too many to send).
     """
     into = free_name(docs, "_quality")
-    rows = stage(with_features(docs, into=into).select(*dict.fromkeys([doc_id, stratum, *columns]), into), "quality")
-    marks = labels.groupBy(F.col("doc_id").alias("_label_of")).agg(F.max("quality").alias("_label"))
+    marks = labels.groupBy(F.col("doc_id").alias("_label_of")).agg(F.max("quality").alias("_label")).where("_label IS NOT NULL")
     strata = F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("null"))
-    labelled = (
-        rows.select(F.col(doc_id).alias("_id"), strata.alias("_stratum"), F.col(into).alias("_features"))
-        .join(marks, F.col("_id") == F.col("_label_of"))
-        .where("_label IS NOT NULL")
-        .withColumn("_good", F.col("_label") == 1)
-    )
-    cutoffs = stage(risk_cutoffs(labelled, "_stratum", "_good", "_features", **options), "cutoffs")
+    slim = docs.select(F.col(doc_id).alias("_id"), strata.alias("_stratum"), F.col("text"))
+    marked = slim.join(beside(marks), F.col("_id") == F.col("_label_of")).withColumn("_good", F.col("_label") == 1)
+    found = risk_cutoffs(with_features(marked, into="_features"), "_stratum", "_good", "_features", **options)
+    # A written table: the planner sees that it is small and sends it to the documents.
+    cutoffs = stage(found.coalesce(1), "cutoffs")
     key, of = free_name(docs, "_stratum_key"), free_name(docs, "_cutoffs")
-    joined = rows.withColumn(key, strata).join(
+    joined = with_features(docs, into=into).withColumn(key, strata).join(
         cutoffs.select(F.col("stratum").alias(f"{key}2"), F.col("cutoffs").alias(of)), F.col(key) == F.col(f"{key}2"), "left"
     )
     above = [F.coalesce(F.col(into)[r] > F.col(of)[r], F.lit(False)) for r in RATES]
@@ -215,12 +215,12 @@ def judge(
 
 
 def report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    rows, into = judge(docs, labels, ["doc_id"], **options)
+    rows, into = judge(docs, labels, **options)
     f = F.col(into)
     return rows.select("doc_id", *[f[c].alias(c) for c in COUNTS], f["base_failed"].alias("base_failed"), f["kept"].alias("kept"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that the rules keep, with the columns of ``docs``."""
-    rows, into = judge(docs, labels, docs.columns, **options)
+    rows, into = judge(docs, labels, **options)
     return rows.where(F.col(into)["kept"]).select(*docs.columns)

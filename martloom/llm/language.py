@@ -158,7 +158,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
     return labels
 
 
-def _groups(texts: list[str], limit: int = 8 << 20) -> Iterator[tuple[int, list[str]]]:
+def _groups(texts: list[str], limit: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
     begin, size = 0, 0
     for i, text in enumerate(texts):
         if i > begin and size + len(text) > limit:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 _BREAK = re.compile(r"[^\w][\w]*\Z", re.S)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 

@@ -223,6 +223,7 @@ def mart_config(rules: list[R.Rule] | None = None) -> MartConfig:
         customers=CUSTOMER_SEEDS,
         prefixes=PREFIXES,
         row_no="row_key",
+        row_type="string",
     )
 
 

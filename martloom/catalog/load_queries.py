@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import bindings as B
+from ..operators.ordered import dense_numbers
 from ..plans import mart as T
 from ..plans import star as S
-from ..streaming.ingest import drain_rollup, file_stream, ingest_stream, weekly_rollup
-from ..workspace import fresh_dir
+from ..streaming.ingest import file_stream, ingest_stream, rollup_stream, weekly_rollup
+from ..workspace import fresh_dir, stage
 from .registry import query
 from .sqltext import sql
 
@@ -155,6 +156,99 @@ def atomic_load(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "failed_retry",
+    sql(
+        """
+        SELECT count(DISTINCT (row_key, error_type)) AS letters,
+          (SELECT count(*) FROM macro_w) AS macro_weeks,
+          (SELECT count(DISTINCT sku) FROM clean WHERE channel = 'pro_dealer') AS products
+        FROM (SELECT row_key, error_type FROM errors
+          UNION ALL SELECT row_key, 'REQUIRED' FROM landing WHERE units IS NULL)
+        JOIN landing USING (row_key) WHERE channel = 'pro_dealer'
+        """,
+        "errors",
+        "clean",
+    ),
+)
+def failed_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch, then a retry of it with other rows that is refused: its dead letters, macro weeks
+    and products are those of the published attempt."""
+    mart, landing = new_mart(spark, "mart"), B.landing_layer(spark, sf)
+    mart.load(landing.filter("channel = 'pro_dealer'"), B.macro(spark, sf), mode="batch", batch_id="b")
+
+    def refuse(contribution: DataFrame) -> None:
+        raise ValueError("rejected")
+
+    other = B.macro(spark, sf).withColumn("week", F.date_add("week", 1))
+    try:
+        mart.load(landing.filter("channel <> 'pro_dealer'"), other, mode="batch", batch_id="b", check=refuse)
+    except ValueError:
+        pass
+    dims, letters = mart.dims(), mart.dead_letters.read()
+    return letters.select("row_index", "error_type").distinct().agg(
+        F.count(F.lit(1)).alias("letters"),
+        F.max(dims["macro"].agg(F.count(F.lit(1))).scalar()).alias("macro_weeks"),
+        F.max(dims["product"].filter("product_id > 0").agg(F.count(F.lit(1))).scalar()).alias("products"),
+    )
+
+
+@query("failed_refresh", sql(FACT_SQL, "clean"))
+def failed_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads whose snapshot was never refreshed, as if that had failed, then one without rows
+    of its own: the snapshot catches up with all of them."""
+    mart, landing = new_mart(spark, "mart"), B.landing_layer(spark, sf)
+    mart.load(early(landing), B.macro(spark, sf), update_snapshot=False)
+    mart.load(landing, update_snapshot=False)
+    mart.load(landing.limit(0))
+    return named_fact(mart, mart.snapshot())
+
+
+@query(
+    "two_streams",
+    sql(
+        """SELECT count(*) AS batches, (SELECT cast(sum(units) AS bigint) FROM clean) AS units
+        FROM (SELECT DISTINCT channel FROM landing)""",
+        "clean",
+    ),
+)
+def two_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """Two folders with checkpoints of their own into one mart: their first epochs add up."""
+    mart, landing = new_mart(spark, "mart"), B.landing_layer(spark, sf)
+    for channel in B.CHANNELS:
+        source = fresh_dir(spark, "incoming")
+        landing.filter(F.col("channel") == channel).write.parquet(source)
+        stream = file_stream(spark, source, landing.schema, "parquet")
+        ingest_stream(mart, stream, fresh_dir(spark, "stream"), B.macro(spark, sf))
+    batches = mart.log.published().agg(F.count(F.lit(1))).scalar()
+    return mart.fact().agg(F.max(batches).alias("batches"), F.sum("units").alias("units"))
+
+
+@query(
+    "numeric_row_order",
+    sql(
+        """
+        SELECT transaction_date AS date, region AS region_name, sku, channel AS channel_name,
+          customer_type, arg_min(unit_price, n) AS unit_price
+        FROM (SELECT c.*, row_number() OVER (ORDER BY row_key DESC) AS n FROM clean c)
+        GROUP BY ALL
+        """,
+        "clean",
+    ),
+)
+def numeric_row_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows numbered against the order of their text: a key keeps the price of its lowest number."""
+    landing = B.landing_layer(spark, sf)
+    numbered = dense_numbers(landing.select("row_key").distinct(), ["row_key"], "n")
+    top = numbered.agg(F.max("n")).scalar()
+    rows = landing.join(numbered, "row_key").withColumn("row_no", (top - F.col("n") + 1).cast("string")).drop("n")
+    config = B.mart_config()
+    config.row_no, config.row_type = "row_no", "long"
+    mart = T.Mart(spark, fresh_dir(spark, "mart"), config)
+    mart.load(stage(rows, "numbered"), B.macro(spark, sf))
+    return named_fact(mart, mart.fact()).drop("units", "revenue")
+
+
 RUN_SQL = """
   WITH broken AS (SELECT row_key, count(*) AS n FROM (SELECT row_key FROM errors
     UNION ALL SELECT row_key FROM landing WHERE units IS NULL) GROUP BY 1)
@@ -277,13 +371,33 @@ def stream_dlq(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def stream_weekly_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    schema = B.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    cents = events.withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
-    rollup = weekly_rollup(cents, "ts", "event_type", {"value_cents": "cents"})
-    return drain_rollup(
-        rollup, fresh_dir(spark, "rollup"), fresh_dir(spark, "stream"), ["week", "event_type"]
-    )
+    """Events in four files out of time order, one epoch each; late ones count as well."""
+    return streamed_rollup(spark, sf)[0]
+
+
+@query(
+    "stream_late_events",
+    """
+    WITH e AS (SELECT event_id, ts, event_id % 4 AS part FROM events),
+    m AS (SELECT part, max(ts) AS top FROM e GROUP BY 1)
+    SELECT event_id, ts, part AS epoch FROM e
+    WHERE ts < (SELECT max(top) FROM m WHERE m.part < e.part) - INTERVAL 7 DAY
+    """,
+)
+def stream_late_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events more than a week behind the newest event of an earlier epoch."""
+    return streamed_rollup(spark, sf)[1].select("event_id", "ts", "epoch")
+
+
+def streamed_rollup(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    source, checkpoint, path = (fresh_dir(spark, x) for x in ("events", "stream", "rollup"))
+    cents = B.table(spark, sf, "events").withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    out = None
+    for part in range(4):
+        cents.filter(F.col("event_id") % 4 == part).write.mode("append").parquet(source)
+        stream = file_stream(spark, source, cents.schema, "parquet")
+        out = rollup_stream(stream, path, checkpoint, "ts", "event_type", {"value_cents": "cents"})
+    return out
 
 
 @query(

@@ -21,8 +21,10 @@ LOG_SCHEMA = (
     "batch_id string, attempt string, source_name string, mode string, status string, "
     "mark string, start_time timestamp, "
     "end_time timestamp, duration_seconds double, rows_processed long, rows_inserted long, "
-    "rows_updated long, rows_rejected long, error_count long, seq long"
+    "rows_updated long, rows_rejected long, error_count long, months string, seq long"
 )
+# In ``months``: every month there is.
+ALL_MONTHS = "all"
 DEAD_LETTER_TYPES = {
     "row_index": "string",
     "column": "string",
@@ -71,6 +73,30 @@ class BatchLog:
         live = done.filter(F.col("seq") >= F.coalesce(rebuilt, F.lit(0)))
         return last_per_key(live, ["batch_id"], ["seq"]).select("batch_id", "attempt")
 
+    def succeeded(self) -> DataFrame:
+        """Attempts that were published at any time, also those replaced since."""
+        return self.table().filter(F.col("status") == "success").select("batch_id", "attempt").distinct()
+
+    def judged(self) -> DataFrame:
+        """The attempt of each batch whose letters count: the last successful one, else the last."""
+        tries = self.table().filter(F.col("attempt").isNotNull())
+        good = (F.col("status") == "success").cast("int")
+        rank = tries.withColumn("good", good)
+        return last_per_key(rank, ["batch_id"], ["good", "seq"]).select("batch_id", "attempt")
+
+    def pending_months(self) -> list[int] | None:
+        """Months that published batches have touched since the snapshot last covered them, a
+        handful; None for all months."""
+        rows = self.table().filter(F.col("months").isNotNull() & (F.col("months") != ""))
+        each = rows.select("status", "seq", F.explode(F.split("months", ",")).alias("month"))
+        touched = F.max(F.when(F.col("status") == "success", F.col("seq"))).alias("touched")
+        covered = F.max(F.when(F.col("status") == "snapshot", F.col("seq"))).alias("covered")
+        found = {r["month"]: (r["touched"] or 0, r["covered"] or 0) for r in each.groupBy("month").agg(touched, covered).collect()}
+        touched_all, covered_all = found.pop(ALL_MONTHS, (0, 0))
+        if touched_all > covered_all:
+            return None
+        return sorted(int(m) for m, (t, c) in found.items() if t > max(c, covered_all))
+
     def marks(self) -> DataFrame:
         """Marks reached by successful batches. They are part of the log row, so a batch becomes
         visible and moves the mark in one write."""
@@ -109,21 +135,28 @@ class MarkStore:
 
 
 class DeadLetters:
-    """Rejected rows as JSON lines, one folder per batch: writing a batch again replaces it."""
+    """Rejected rows as JSON lines, one folder per attempt of a batch.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    With a batch log, a batch's letters are those of its last successful attempt, or of its last
+    attempt if none succeeded: a failed retry leaves the letters of the published attempt alone,
+    and a load that only failed still shows why. Without a log all letters are read.
+    """
 
-    def write(self, errors: DataFrame, batch_id: str, source_file: str | None = None) -> None:
+    def __init__(self, spark: SparkSession, path: str, log: BatchLog | None = None):
+        self.spark, self.path, self.log = spark, path, log
+
+    def write(
+        self, errors: DataFrame, batch_id: str, source_file: str | None = None, attempt: str = "0"
+    ) -> None:
         origin = F.col("source_file") if "source_file" in errors.columns else F.lit(source_file)
         out = errors.withColumns(
             {"source_file": origin.cast("string"), "timestamp": F.current_timestamp()}
         ).select(*[F.col(c).cast(t).alias(c) for c, t in DEAD_LETTER_TYPES.items()])
-        out.write.mode("overwrite").json(f"{self.path}/batch_id={batch_id}")
+        out.write.mode("overwrite").json(f"{self.path}/batch_id={batch_id}/attempt={attempt}")
 
     def read(self, limit: int | None = None) -> DataFrame:
         """Readable letters; malformed lines are skipped."""
-        schema = struct_of({**DEAD_LETTER_TYPES, "batch_id": "string"})
+        schema = struct_of({**DEAD_LETTER_TYPES, "batch_id": "string", "attempt": "string"})
         from pyspark.errors import AnalysisException
 
         try:
@@ -135,6 +168,8 @@ class DeadLetters:
                 return self.spark.createDataFrame([], schema)
             raise
         rows = rows.filter(F.col("error_type").isNotNull())
+        if self.log is not None:
+            rows = rows.join(self.log.judged(), ["batch_id", "attempt"], "left_semi")
         return rows if limit is None else rows.limit(limit)
 
     def summary(self) -> DataFrame:

@@ -1,10 +1,12 @@
 """The sales mart: layered tables, contribution ledger, incremental and full loads.
 
 Every batch writes what it adds to the fact as its own *contribution*, under a new attempt
-folder. An attempt becomes visible through its ``success`` row in the batch log and in no other
-way. From that follow: a failed batch leaves nothing, a retried batch replaces itself instead of
-adding twice, and a batch can be withdrawn or rewritten. The fact is the sum of all published
-contributions; ``snapshot`` keeps it compacted by month and rebuilds touched months only.
+folder; so are the macro weeks, dates and products that it brings. An attempt becomes visible
+through its ``success`` row in the batch log and in no other way. From that follow: a failed batch
+leaves nothing but its dead letters and its row in the log, a retried batch replaces itself
+instead of adding twice, and a batch can be withdrawn or rewritten. The fact is the sum of all
+published contributions; ``snapshot`` keeps it compacted by month. The log says which months a batch
+touched and which a refresh covered, so that a refresh that failed is made up for by the next.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from ..operators import quality as Q
 from ..operators.merge import last_per_key, merge_counts
 from ..sources.files import struct_of
 from . import star as S
-from .control import BatchLog, DeadLetters, MarkStore, read_or_empty
+from .control import ALL_MONTHS, BatchLog, DeadLetters, MarkStore, read_or_empty
 
 ORDER = ["batch_seq", "sale_date", "row_no"]
 CONTRIB_TYPES = {
@@ -40,7 +42,6 @@ CONTRIB_TYPES = {
     "mortgage_rate": "decimal(5,3)",
     "batch_seq": "long",
     "sale_date": "date",
-    "row_no": "string",
 }
 MACRO_LOG = (
     "macro_id int, week date, housing_starts_index decimal(6,2), lumber_price_index decimal(8,2), "
@@ -65,7 +66,9 @@ class MartConfig:
     """Closed dimensions, rules and ordering of one mart.
 
     ``row_no`` orders rows inside a date and must be unique; it decides which price a merged key
-    keeps. ``max_error_rows`` aborts a load with more invalid rows; None accepts any number.
+    keeps. Its order is that of ``row_type``: numbers by default, "string" for text keys.
+    ``max_error_rows`` aborts a load with more invalid rows, whose letters are kept; None accepts
+    any number.
     """
 
     rules: Sequence[Rule]
@@ -74,6 +77,7 @@ class MartConfig:
     customers: Sequence[tuple] = field(default_factory=lambda: S.CUSTOMER_SEEDS)
     prefixes: dict[str, str] = field(default_factory=lambda: S.PREFIX_CATEGORIES)
     row_no: str = "row_no"
+    row_type: str = "long"
     unknown_id: int = -1
     source: str = "transactions"
     max_error_rows: int | None = None
@@ -100,30 +104,43 @@ class Mart:
         self.spark, self.root, self.config = spark, root.rstrip("/"), config
         self.log = BatchLog(spark, f"{self.root}/batch_log")
         self.marks = MarkStore(spark, f"{self.root}/marks", self.log)
-        self.dead_letters = DeadLetters(spark, f"{self.root}/dead_letters")
+        self.dead_letters = DeadLetters(spark, f"{self.root}/dead_letters", self.log)
+        self.contrib_types = {**CONTRIB_TYPES, "row_no": config.row_type}
 
     # -- tables --------------------------------------------------------------------------------
 
-    def dims(self) -> dict[str, DataFrame]:
+    def _brought(self, name: str, schema: str, attempt: str | None) -> DataFrame:
+        """Rows that successful attempts brought to a table, and those of ``attempt``."""
+        keys = "batch_id string, attempt string"
+        rows = read_or_empty(self.spark, f"{self.root}/{name}", f"{schema}, {keys}")
+        seen = self.log.succeeded().select("batch_id", "attempt")
+        if attempt is not None:
+            own = rows.filter(F.col("attempt") == attempt).select("batch_id", "attempt").distinct()
+            seen = seen.unionByName(own)
+        return rows.join(seen, ["batch_id", "attempt"], "left_semi").drop("batch_id", "attempt")
+
+    def dims(self, attempt: str | None = None) -> dict[str, DataFrame]:
+        """The dimensions; ``attempt`` sees its own additions before they are published."""
         c = self.config
+        products = self._brought("dim_product", S.PRODUCT_SCHEMA, attempt)
         return {
-            "region": S.seed_regions(self.spark, c.regions),
-            "channel": S.seed_channels(self.spark, c.channels),
-            "customer": S.seed_customers(self.spark, c.customers),
-            "category": S.seed_categories(self.spark, c.prefixes),
-            "date": read_or_empty(self.spark, f"{self.root}/dim_date", DATE_SCHEMA),
-            "product": read_or_empty(self.spark, f"{self.root}/dim_product", S.PRODUCT_SCHEMA),
-            "macro": self._macro(),
+            "region": S.seed_regions(self.spark, c.regions, c.unknown_id),
+            "channel": S.seed_channels(self.spark, c.channels, c.unknown_id),
+            "customer": S.seed_customers(self.spark, c.customers, c.unknown_id),
+            "category": S.seed_categories(self.spark, c.prefixes, c.unknown_id),
+            "date": self._brought("dim_date", DATE_SCHEMA, attempt),
+            "product": S.with_unknown_product(products, c.unknown_id),
+            "macro": self._macro(attempt),
         }
 
-    def _macro(self) -> DataFrame:
-        log = read_or_empty(self.spark, f"{self.root}/dim_macro_log", MACRO_LOG)
+    def _macro(self, attempt: str | None = None) -> DataFrame:
+        log = self._brought("dim_macro_log", MACRO_LOG, attempt)
         return last_per_key(log, ["macro_id"], ["seq"]).drop("seq")
 
     def contributions(self) -> DataFrame:
         """Contributions of published attempts. The log is one row per batch; joined on the
         partition columns it prunes the folders of every other attempt."""
-        types = {**CONTRIB_TYPES, "month": "int", "batch_id": "string", "attempt": "string"}
+        types = {**self.contrib_types, "month": "int", "batch_id": "string", "attempt": "string"}
         path, schema = f"{self.root}/contrib", struct_of(types)
         rows = read_or_empty(self.spark, path, schema)
         return rows.join(self.log.published(), ["batch_id", "attempt"], "left_semi")
@@ -132,31 +149,35 @@ class Mart:
         return S.merge_contributions(self.contributions(), ORDER).drop(*ORDER)
 
     def snapshot(self) -> DataFrame:
-        types = {k: v for k, v in CONTRIB_TYPES.items() if k not in ORDER}
+        types = {k: v for k, v in self.contrib_types.items() if k not in ORDER}
         schema = struct_of({**types, "month": "int"})
         return read_or_empty(self.spark, f"{self.root}/fact_sales", schema)
 
     # -- steps ---------------------------------------------------------------------------------
 
-    def load_macro(self, macro: DataFrame, seq: int) -> None:
+    def _bring(self, rows: DataFrame, name: str, batch_id: str, attempt: str) -> None:
+        path = f"{self.root}/{name}/batch_id={batch_id}/attempt={attempt}"
+        rows.write.mode("overwrite").parquet(path)
+
+    def load_macro(self, macro: DataFrame, seq: int, batch_id: str, attempt: str) -> None:
         """Macro weeks replace earlier values of the same week."""
         rows = S.macro_rows(S.transform_macro(macro)).withColumn("seq", F.lit(seq).cast("long"))
-        rows.write.mode("overwrite").parquet(f"{self.root}/dim_macro_log/load={seq}")
+        self._bring(rows, "dim_macro_log", batch_id, attempt)
 
-    def extend_dims(self, clean: DataFrame) -> None:
+    def extend_dims(self, clean: DataFrame, batch_id: str, attempt: str) -> None:
         """Dates and products the dimensions lack; existing members stay as they are, so a
         repeated call appends nothing."""
         dims = self.dims()
         dates = S.date_rows(clean, "transaction_date")
         fresh = dates.join(dims["date"].select("date_id"), "date_id", "left_anti")
-        fresh.write.mode("append").parquet(f"{self.root}/dim_date")
+        self._bring(fresh, "dim_date", batch_id, attempt)
         products = S.new_products(clean, dims["product"], dims["category"], self.config.prefixes)
-        products.write.mode("append").parquet(f"{self.root}/dim_product")
+        self._bring(products, "dim_product", batch_id, attempt)
 
     def refresh_snapshot(
         self, months: Sequence[int] | None = None, corrected: bool = True
     ) -> None:
-        """Rebuild the compacted fact, for the given months only when there are any.
+        """Rebuild the compacted fact, for the given months only when there are any, and log it.
 
         The rebalance hint lets adaptive execution cut a month that holds most of the rows into
         several files and put small ones together.
@@ -175,12 +196,13 @@ class Mart:
             .partitionBy("month")
             .parquet(path)
         )
-        if months is None or not corrected:
-            return
-        # A corrected batch may have left a month without any row.
-        left = {r["month"] for r in contrib.select("month").distinct().collect()}
-        for month in set(months) - left:
-            fact.limit(0).write.mode("overwrite").parquet(f"{path}/month={month}")
+        if months is not None and corrected:
+            # A corrected batch may have left a month without any row.
+            left = {r["month"] for r in contrib.select("month").distinct().collect()}
+            for month in set(months) - left:
+                fact.limit(0).write.mode("overwrite").parquet(f"{path}/month={month}")
+        covered = ALL_MONTHS if months is None else ",".join(map(str, months))
+        self.log.append(source_name=self.config.source, status="snapshot", months=covered)
 
     # -- loads ---------------------------------------------------------------------------------
 
@@ -217,13 +239,23 @@ class Mart:
         except Exception as e:
             self._finish(summary, attempt, started, status="rolled_back", error=str(e))
             raise
-        self._finish(summary, attempt, started, status="dry" if mode == "dry" else "success")
-        if update_snapshot and mode != "dry":
-            again = earlier is not None
-            months = self._months(batch_id) if again else summary["months"]
-            self.refresh_snapshot(None if mode == "full" else months, corrected=again)
+        if mode == "dry":
+            self._finish(summary, attempt, started, status="dry")
+            return summary
+        # What is to be refreshed is part of the row that publishes the batch.
+        months = self._months(batch_id) if earlier is not None else summary["months"]
+        touched = ALL_MONTHS if mode == "full" else ",".join(map(str, months))
+        self._finish(summary, attempt, started, status="success", months=touched)
+        if update_snapshot:
+            self.catch_up()
         return summary
 
+    def catch_up(self) -> None:
+        """Refresh the snapshot by all months that published batches have touched since."""
+        months = self.log.pending_months()
+        if months is None or months:
+            self.refresh_snapshot(months)
+
     def _load(
         self, summary, transactions, macro, mode, batch_id, attempt, seq, place, source_file, check
     ) -> None:
@@ -247,31 +279,33 @@ class Mart:
             F.to_json(F.struct(*late.columns)).alias("original_data"),
         )
         summary.update(seen, valid_rows=seen["raw_rows"] - seen["invalid_rows"])
-        if c.max_error_rows is not None and seen["invalid_rows"] > c.max_error_rows:
-            raise TooManyErrors(f"{seen['invalid_rows']} invalid rows")
         if mode == "dry":
             summary.update(loaded_rows=0, inserted=0, updated=0, mark=None)
             return
         letters = errors.withColumn("row_index", F.col("row_index").cast("string"))
-        self.dead_letters.write(letters.unionByName(late_errors, allowMissingColumns=True), batch_id, source_file)
+        letters = letters.unionByName(late_errors, allowMissingColumns=True)
+        self.dead_letters.write(letters, batch_id, source_file, attempt)
+        if c.max_error_rows is not None and seen["invalid_rows"] > c.max_error_rows:
+            raise TooManyErrors(f"{seen['invalid_rows']} invalid rows")
         if macro is not None:
-            self.load_macro(macro, seq)
-        self.extend_dims(taken)
+            self.load_macro(macro, seq, batch_id, attempt)
+        self.extend_dims(taken, batch_id, attempt)
 
         placed = taken.withColumns(
             {
                 "batch_seq": F.lit(place).cast("long"),
                 "sale_date": F.col("transaction_date"),
-                "row_no": F.col(c.row_no).cast("string"),
+                "row_no": F.col(c.row_no).cast(c.row_type),
             }
         )
         path = f"{self.root}/contrib/batch_id={batch_id}/attempt={attempt}"
-        contrib = S.contributions(placed, self.dims(), ORDER, c.unknown_id)
-        contrib = contrib.select(*[F.col(n).cast(t).alias(n) for n, t in CONTRIB_TYPES.items()])
+        contrib = S.contributions(placed, self.dims(attempt), ORDER, c.unknown_id)
+        types = self.contrib_types
+        contrib = contrib.select(*[F.col(n).cast(t).alias(n) for n, t in types.items()])
         with_month(contrib).hint("rebalance", "month").write.mode("overwrite").partitionBy(
             "month"
         ).parquet(path)
-        written = read_or_empty(self.spark, path, struct_of({**CONTRIB_TYPES, "month": "int"}))
+        written = read_or_empty(self.spark, path, struct_of({**types, "month": "int"}))
         if check is not None:
             check(written)
 
@@ -304,17 +338,18 @@ class Mart:
 
     def withdraw(self, batch_id: str) -> None:
         """Take a batch out of the fact; its files stay until they are cleaned up."""
-        self.log.append(batch_id=batch_id, attempt="withdrawn", status="success")
+        touched = ",".join(map(str, self._months(batch_id)))
+        self.log.append(batch_id=batch_id, attempt="withdrawn", status="success", months=touched)
 
     def _months(self, batch_id: str) -> list[int]:
         """Months any attempt of the batch has touched (a handful), so that a correction also
         rebuilds the months its earlier version had filled."""
-        types = {**CONTRIB_TYPES, "month": "int", "batch_id": "string", "attempt": "string"}
+        types = {**self.contrib_types, "month": "int", "batch_id": "string", "attempt": "string"}
         rows = read_or_empty(self.spark, f"{self.root}/contrib", struct_of(types))
         touched = rows.filter(F.col("batch_id") == batch_id).select("month").distinct()
         return [r["month"] for r in touched.collect()]
 
-    def _finish(self, summary, attempt, started, status, error=None) -> None:
+    def _finish(self, summary, attempt, started, status, error=None, months=None) -> None:
         ended = datetime.now(timezone.utc).replace(tzinfo=None)
         summary["status"] = status
         if error:
@@ -334,6 +369,7 @@ class Mart:
             rows_updated=summary.get("updated"),
             rows_rejected=summary.get("invalid_rows"),
             error_count=summary.get("error_count"),
+            months=months,
         )
 
     def summary_table(self) -> DataFrame:

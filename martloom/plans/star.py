@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..operators import lookup as L
@@ -14,7 +15,7 @@ from ..operators.ordered import dense_numbers
 from ..operators.quality import valid_rows
 from ..functions.rules import Rule, annotate
 
-# Members, ids and codes of the closed dimensions.
+# Members, ids and codes of the closed dimensions, types of the macro values.
 REGION_SEEDS = [
     (1, "East_North_Central", "East North Central"),
     (2, "Middle_Atlantic", "Middle Atlantic"),
@@ -49,6 +50,10 @@ PREFIX_CATEGORIES = {
     "ELC": "electrical",
 }
 
+PRODUCT_SCHEMA = (
+    "product_id long, sku string, sku_prefix string, product_name string, "
+    "is_active boolean, category_id int"
+)
 BUSINESS_KEY = ["date_id", "region_id", "product_id", "channel_id", "customer_id"]
 MACRO_COLUMNS = ["housing_starts_index", "lumber_price_index", "mortgage_rate"]
 MACRO_DECIMALS = {
@@ -98,37 +103,81 @@ def transform_macro(df: DataFrame, default_season: float = 1.0) -> DataFrame:
 # -- dimensions --------------------------------------------------------------------------------
 
 
-def seed_regions(spark: SparkSession, seeds=REGION_SEEDS) -> DataFrame:
-    rows = spark.createDataFrame(
-        list(seeds), "region_id int, region_name string, census_division string"
+# Id and name of the member that stands for facts whose own member is unknown.
+UNKNOWN_ID, UNKNOWN = -1, "unknown"
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A relation of constants. The planner knows its size, as it doesn't that of a Python list,
+    so a closed dimension is joined without moving the rows it is looked up for."""
+    fields = T.StructType.fromDDL(schema).fields
+    value = lambda x, f: f"CAST({sql_literal(x)} AS {f.dataType.simpleString()})"
+    body = ", ".join(f"({', '.join(value(x, f) for x, f in zip(row, fields))})" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(f.name for f in fields)})")
+
+
+def sql_literal(x) -> str:
+    if x is None:
+        return "NULL"
+    if isinstance(x, str):
+        escaped = x.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return str(x).lower()
+
+
+def seed_regions(spark: SparkSession, seeds=REGION_SEEDS, unknown_id: int = UNKNOWN_ID) -> DataFrame:
+    """Region members and, last, the unknown one; as the other closed dimensions."""
+    rows = literal_rows(
+        spark,
+        [*seeds, (unknown_id, UNKNOWN, UNKNOWN)],
+        "region_id int, region_name string, census_division string",
     )
     return rows.withColumn("region_code", C.short_code(F.col("region_name")))
 
 
-def seed_channels(spark: SparkSession, seeds=CHANNEL_SEEDS) -> DataFrame:
-    return spark.createDataFrame(
-        list(seeds),
+def seed_channels(spark: SparkSession, seeds=CHANNEL_SEEDS, unknown_id: int = UNKNOWN_ID) -> DataFrame:
+    return literal_rows(
+        spark,
+        [*seeds, (unknown_id, UNKNOWN, UNKNOWN, None)],
         "channel_id int, channel_name string, channel_type string, channel_code string",
     )
 
 
-def seed_customers(spark: SparkSession, seeds=CUSTOMER_SEEDS) -> DataFrame:
-    return spark.createDataFrame(
-        list(seeds), "customer_id int, customer_type string, segment string"
+def seed_customers(spark: SparkSession, seeds=CUSTOMER_SEEDS, unknown_id: int = UNKNOWN_ID) -> DataFrame:
+    return literal_rows(
+        spark,
+        [*seeds, (unknown_id, UNKNOWN, UNKNOWN)],
+        "customer_id int, customer_type string, segment string",
     )
 
 
-def seed_categories(spark: SparkSession, prefixes: dict[str, str] = PREFIX_CATEGORIES) -> DataFrame:
+def seed_categories(
+    spark: SparkSession,
+    prefixes: dict[str, str] = PREFIX_CATEGORIES,
+    unknown_id: int = UNKNOWN_ID,
+) -> DataFrame:
     """Categories named by the prefix map, numbered by name; those the lumber price moves are
     the ones whose prefix is LUM."""
     names = sorted(prefixes.items(), key=lambda item: item[1])
     rows = [(i, name, prefix, prefix == "LUM") for i, (prefix, name) in enumerate(names, start=1)]
-    return spark.createDataFrame(
-        rows,
+    return literal_rows(
+        spark,
+        [*rows, (unknown_id, UNKNOWN, None, False)],
         "category_id int, category_name string, category_code string, is_lumber_sensitive boolean",
     )
 
 
+def with_unknown_product(products: DataFrame, unknown_id: int = UNKNOWN_ID) -> DataFrame:
+    """A product dimension with the member of facts whose SKU it lacks. Products without a
+    category belong to the unknown one."""
+    spark = products.sparkSession
+    row = literal_rows(
+        spark, [(unknown_id, UNKNOWN, None, UNKNOWN, False, unknown_id)], PRODUCT_SCHEMA
+    )
+    named = products.withColumn("category_id", F.coalesce("category_id", F.lit(unknown_id)))
+    return named.select(*row.columns).unionByName(row)
+
+
 def date_rows(df: DataFrame, day: str) -> DataFrame:
     """Calendar rows of the distinct dates of ``df``."""
     days = df.select(F.col(day).cast("date").alias("date")).filter("date is not null").distinct()
@@ -144,7 +193,7 @@ def new_products(
     """Products the dimension lacks, numbered on from its highest id in SKU order."""
     fresh = L.new_members(df, "sku", dim_product, "sku")
     numbered = dense_numbers(fresh, ["sku"], "_n")
-    top = dim_product.agg(F.coalesce(F.max("product_id"), F.lit(0).cast("long"))).scalar()
+    top = dim_product.agg(F.greatest(F.max("product_id"), F.lit(0).cast("long"))).scalar()
     prefix = C.sku_prefix(F.col("sku"))
     rows = numbered.select(
         (F.col("_n") + top).alias("product_id"),
@@ -159,12 +208,6 @@ def new_products(
     )
 
 
-PRODUCT_SCHEMA = (
-    "product_id long, sku string, sku_prefix string, product_name string, "
-    "is_active boolean, category_id int"
-)
-
-
 def macro_rows(df: DataFrame) -> DataFrame:
     """Macro dimension rows; the id is the week as YYYYMMDD, stable under any load order."""
     day = F.col("week_date")
@@ -241,7 +284,8 @@ def merge_contributions(contrib: DataFrame, order: Sequence[str]) -> DataFrame:
 def star_join(
     fact: DataFrame, dims: dict[str, DataFrame], extra: Sequence[str] = ()
 ) -> DataFrame:
-    """Fact with all dimension attributes; facts without a member drop out, macro is optional."""
+    """Fact with all dimension attributes. Every dimension holds the unknown member, so each
+    fact stays; macro values are optional."""
     f = fact.select(*BUSINESS_KEY, "macro_id", "units", "revenue", "unit_price", *extra)
     date = dims["date"].select("date_id", "date", "year", "month", "quarter")
     product = dims["product"].select("product_id", "sku", "category_id")
@@ -269,16 +313,12 @@ def mean_price(price: str = "unit_price") -> Column:
 def weekly_sales_view(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Units, revenue, mean price and fact rows by every star attribute.
 
-    Members are unique by name, so grouping by attributes equals grouping by ids. The shuffle
-    therefore carries a few whole numbers per row, and the text is joined on afterwards.
+    ``fact`` has one row per business key, as ``merge_contributions`` leaves it, and members are unique by name, so every group is one fact row and nothing is shuffled to
+    find that out.
     """
-    grouped = fact.groupBy(*BUSINESS_KEY, "macro_id").agg(
-        F.sum("units").alias("units"),
-        F.sum("revenue").alias("revenue"),
-        mean_price().alias("unit_price"),
-        F.count(F.lit(1)).alias("transaction_count"),
-    )
-    return star_join(grouped, dims, ["transaction_count"]).select(
+    price = F.col("unit_price").cast("double")
+    single = fact.withColumns({"unit_price": price, "transaction_count": F.lit(1).cast("long")})
+    return star_join(single, dims, ["transaction_count"]).select(
         *["date", "year", "month", "quarter", "region_name", "category_name", "sku"],
         *["channel_name", "customer_type", *MACRO_DECIMALS],
         F.col("units").alias("total_units"),

@@ -11,13 +11,13 @@ from ..operators import merge as M
 from ..operators import quality as Q
 from ..plans.control import BatchLog, DeadLetters, MarkStore
 from ..sources import files as S
-from ..sources.html import html_fragments, pages_until_empty
+from ..operators.ordered import dense_numbers
+from ..sources.html import PANEL_CELLS, html_fragments, pages_until_empty, table_rows
 from ..workspace import fresh_dir, stage
 from .registry import query
 from .sqltext import sql
 
 LINK = r'<li><a href="([^"]*)">([^<]*)</a></li>'
-HEADING = r"<h2>([^<]*)</h2>"
 
 
 @query(
@@ -99,7 +99,7 @@ def extract_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "html_rows",
+    "html_links",
     f"""
     SELECT page_id, cast(unnest(range(len(h))) AS integer) AS pos, unnest(h) AS href,
       nullif(trim(unnest(t)), '') AS label
@@ -107,28 +107,65 @@ def extract_summary(spark: SparkSession, sf: str) -> DataFrame:
             regexp_extract_all(html, '{LINK}', 2) AS t FROM pages)
     """,
 )
-def html_rows(spark: SparkSession, sf: str) -> DataFrame:
+def html_links(spark: SparkSession, sf: str) -> DataFrame:
     pages = B.table(spark, sf, "pages").select("page_id", "html")
     rows = html_fragments(pages, "html", LINK, {"href": 1, "label": 2})
     text = F.trim("label")
     return rows.withColumn("label", F.when(text != "", text))
 
 
+# Rows of a page, and the page that is left empty.
+PAGE_ROWS, EMPTY_PAGE = 25, 4
+PAGED_SQL = f"""
+  SELECT *, CASE WHEN p < {EMPTY_PAGE} THEN p ELSE p + 1 END AS page FROM (
+    SELECT *, (row_number() OVER (ORDER BY team, year) - 1) // {PAGE_ROWS} + 1 AS p,
+      cast((row_number() OVER (ORDER BY team, year) - 1) % {PAGE_ROWS} + 1 AS integer) AS pos FROM panel)
+"""
+
+
+def panel_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The panel as web pages: a data table with a header row each, one page without any row."""
+    rows = B.panel(spark, sf)
+    key = F.concat_ws("|", "team", F.col("year").cast("string"))
+    keyed = rows.withColumn("key", key)
+    numbers = dense_numbers(keyed.select("team", "year", "key"), ["team", "year"], "n").select("key", "n")
+    page = F.floor((F.col("n") - 1) / PAGE_ROWS) + 1
+    cells = [F.concat(F.lit("<td> "), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(" </td>")) for c in PANEL_CELLS]
+    lines = keyed.join(numbers, "key").select(
+        F.when(page < EMPTY_PAGE, page).otherwise(page + 1).alias("page"),
+        F.struct("n", F.concat(F.lit("<tr>"), *cells, F.lit("</tr>")).alias("tr")).alias("line"),
+    )
+    head = f"<html><body><table class='data table'><tr>{''.join(f'<th>{c}</th>' for c in PANEL_CELLS)}</tr>"
+    body = F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda x: x["tr"]), "\n")
+    full = lines.groupBy("page").agg(F.concat(F.lit(head), body, F.lit("</table></body></html>")).alias("html"))
+    empty = spark.range(EMPTY_PAGE, EMPTY_PAGE + 1).select(
+        F.col("id").alias("page"), F.lit(f"{head}</table></body></html>").alias("html")
+    )
+    return full.unionByName(empty)
+
+
+@query("html_rows", sql(f"SELECT page, pos, {', '.join(PANEL_CELLS)} FROM ({PAGED_SQL})", "panel"))
+def html_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the pages' data tables, typed; they are the panel's own."""
+    rows = table_rows(panel_pages(spark, sf), "html")
+    counts = [c for c, t in PANEL_CELLS.items() if t == "int" and c != "year"]
+    return rows.withColumns({c: F.col(c).cast("long") for c in counts})
+
+
 @query(
     "page_union",
-    f"""
-    WITH counts AS (SELECT page_id, len(regexp_extract_all(html, '{HEADING}', 1)) AS n FROM pages),
-    stop AS (SELECT min(page_id) AS p FROM counts WHERE n = 0)
-    SELECT count(*) AS page_count, cast(coalesce(sum(n), 0) AS bigint) AS row_count
-    FROM counts, stop WHERE p IS NULL OR page_id < p
-    """,
+    sql(
+        f"""SELECT count(DISTINCT page) AS page_count, count(*) AS row_count FROM ({PAGED_SQL})
+        WHERE page < {EMPTY_PAGE}""",
+        "panel",
+    ),
 )
 def page_union(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages in order up to the first one without a heading."""
-    pages = B.table(spark, sf, "pages")
-    found = F.size(F.regexp_extract_all("html", F.lit(HEADING), F.lit(1)))
-    counts = pages.select("page_id", found.cast("long").alias("n"))
-    return pages_until_empty(counts, "page_id", "n").agg(
+    """Pages in order up to the first one without a row."""
+    pages = panel_pages(spark, sf)
+    found = table_rows(pages, "html").groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+    counts = pages.select("page").join(found, "page", "left").fillna(0, ["n"])
+    return pages_until_empty(counts, "page", "n").agg(
         F.count(F.lit(1)).alias("page_count"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
     )

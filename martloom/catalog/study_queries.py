@@ -11,6 +11,7 @@ from ..operators import models as M
 from ..operators import panel as P
 from ..operators import profile as R
 from ..operators import stats as S
+from ..sources.files import TRANSACTION_TYPES
 from ..workspace import stage
 from .join_queries import weekly_with_macro
 from .registry import query
@@ -265,13 +266,27 @@ def consistency_rows(spark: SparkSession, sf: str) -> DataFrame:
     return wrong.select("team", "year", games.alias("games"))
 
 
-@query("dtypes")
+CELL_KINDS = {"int": "^-?[0-9]+$", "double": "^-?[0-9]+([.][0-9]+)?$", "date": "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"}
+
+
+def dtypes_sql() -> str:
+    parts = []
+    for c, declared in TRANSACTION_TYPES.items():
+        counts = {k: f"count(*) FILTER (regexp_matches({c}, '{p}'))" for k, p in CELL_KINDS.items()}
+        tests = " ".join(f"WHEN {n} = count({c}) THEN '{k}'" for k, n in counts.items())
+        parts.append(
+            f"""SELECT '{c}' AS column_name, '{declared}' AS declared, count({c}) AS cells,
+            CASE WHEN count({c}) = 0 THEN 'string' {tests} ELSE 'string' END AS inferred,
+            {counts.get(declared, f"count({c})")} AS fitting FROM landing"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("dtypes", sql(dtypes_sql(), "landing"))
 def dtypes(spark: SparkSession, sf: str) -> DataFrame:
-    """Column listing of the landing table, with the rows behind it."""
-    rows = B.landing(spark, sf)
-    return R.column_types(rows).withColumn(
-        "row_count", rows.agg(F.count(F.lit(1))).scalar()
-    )
+    """Type that every cell of a landing column has, beside the type declared for it, and how many
+    cells fit the declared one."""
+    return R.inferred_types(B.landing(spark, sf), TRANSACTION_TYPES, CELL_KINDS)
 
 
 # -- labels and splits -------------------------------------------------------------------------
@@ -318,20 +333,31 @@ def temporal_split(spark: SparkSession, sf: str) -> DataFrame:
     return P.split_summary(labelled(spark, sf))
 
 
-@query("feature_guard")
+def feature_guard_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, true AS is_feature, count({c}) AS newest_known FROM newest" for c in P.FEATURES]
+    parts += [f"SELECT '{c}', false, count({c}) FROM newest" for c in P.FUTURE_COLUMNS]
+    future = ", ".join(f"p.{c}" for c in P.FUTURE_COLUMNS)
+    return f"""WITH newest AS (SELECT n.*, {future} FROM panel n LEFT JOIN pairs p USING (team, year)
+      WHERE n.year = (SELECT max(year) FROM panel)) {" UNION ALL ".join(parts)}"""
+
+
+@query("feature_guard", sql(feature_guard_sql(), "panel", "pairs"))
 def feature_guard(spark: SparkSession, sf: str) -> DataFrame:
-    """Features that pass the guard, and the refusal of each future column, per labelled row
-    count."""
-    rows = labelled(spark, sf)
-    refused = []
-    for c in P.FUTURE_COLUMNS:
+    """Whether the guard lets a column through, beside how many rows of the newest period know it:
+    what it refuses is known for none of them."""
+    rows = stage(B.panel(spark, sf), "panel")
+    labels = P.label_next_period(rows).select("team", "year", *P.FUTURE_COLUMNS)
+    newest = rows.filter(F.col("year") == rows.agg(F.max("year")).scalar()).join(labels, ["team", "year"], "left")
+
+    def passes(column: str) -> bool:
         try:
-            P.guard_features([*P.FEATURES, c])
+            return P.guard_features([*P.FEATURES, column]) is not None
         except P.FutureLeak:
-            refused.append(c)
-    names = [(c, True) for c in P.guard_features(P.FEATURES)] + [(c, False) for c in refused]
-    listed = spark.createDataFrame(names, "column_name string, is_feature boolean")
-    return listed.withColumn("row_count", rows.agg(F.count(F.lit(1))).scalar())
+            return False
+
+    names = [*P.FEATURES, *P.FUTURE_COLUMNS]
+    counts = newest.agg(*[F.count(c).alias(c) for c in names])
+    return R.unpivot_row(counts, {c: [F.lit(passes(c)), F.col(c)] for c in names}, ["is_feature", "newest_known"])
 
 
 # -- evaluation --------------------------------------------------------------------------------
@@ -635,7 +661,7 @@ def bootstrap_ci_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = B.table(spark, sf, "lineitem").select(
         "l_extendedprice", F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("returned")
     )
-    return E.bootstrap_interval(rows, "l_extendedprice", "returned", 200)
+    return E.bootstrap_interval(rows, "l_extendedprice", "returned", 1000)
 
 
 # -- models ------------------------------------------------------------------------------------
@@ -671,12 +697,16 @@ def impute_scale(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def logistic_search(train: DataFrame):
+    """Five folds over all penalty strengths and kinds, refitted with the best."""
+    estimator = M.logistic()
+    return M.grid_search(train, estimator, M.logistic_grid(estimator, train.count()), scale=True)
+
+
 @query("logreg")
 def logreg(spark: SparkSession, sf: str) -> DataFrame:
     parts = study_rows(spark, sf)
-    rows = parts["train"].count()
-    model = M.fit(parts["train"], M.logistic(rows=rows, c=0.1), scale=True)
-    return model_report(model, parts)
+    return model_report(logistic_search(parts["train"]).bestModel, parts)
 
 
 @query("random_forest")
@@ -686,31 +716,28 @@ def random_forest(spark: SparkSession, sf: str) -> DataFrame:
     return model_report(M.fit(parts["train"], estimator), parts)
 
 
-def small_boost(**params):
-    return M.boosting(maxIter=10, maxDepth=2, stepSize=0.1, **params)
+def boost(**params):
+    return M.boosting(maxIter=100, maxDepth=2, stepSize=0.1, **params)
 
 
 @query("gbt")
 def gbt(spark: SparkSession, sf: str) -> DataFrame:
     parts = study_rows(spark, sf)
-    estimator = small_boost(subsamplingRate=0.8, minInstancesPerNode=5)
+    estimator = boost(subsamplingRate=0.8, minInstancesPerNode=5)
     return model_report(M.fit(parts["train"], estimator), parts)
 
 
 @query("gbt_colsample")
 def gbt_colsample(spark: SparkSession, sf: str) -> DataFrame:
     parts = study_rows(spark, sf)
-    estimator = small_boost(featureSubsetStrategy="0.8")
+    estimator = boost(featureSubsetStrategy="0.8")
     return model_report(M.fit(parts["train"], estimator), parts)
 
 
 @query("grid_cv")
 def grid_cv(spark: SparkSession, sf: str) -> DataFrame:
-    """Cross-validated AUC over penalty strengths."""
-    train = study_rows(spark, sf)["train"]
-    estimator, rows = M.logistic(), train.count()
-    grid = M.logistic_grid(estimator, rows, cs=[0.01, 1], penalties=("l2",))
-    return M.grid_table(M.grid_search(train, estimator, grid, scale=True, folds=3), spark)
+    """Cross-validated AUC over all penalty strengths and kinds."""
+    return M.grid_table(logistic_search(study_rows(spark, sf)["train"]), spark)
 
 
 @query("coefficients")
@@ -723,16 +750,35 @@ def coefficients(spark: SparkSession, sf: str) -> DataFrame:
 @query("importances")
 def importances(spark: SparkSession, sf: str) -> DataFrame:
     train = study_rows(spark, sf)["train"]
-    return M.weights(M.fit(train, M.forest(numTrees=50, maxDepth=3)), P.FEATURES, spark)
+    return M.weights(M.fit(train, M.forest(numTrees=100, maxDepth=3)), P.FEATURES, spark)
 
 
 @query("cutoff_sensitivity")
 def cutoff_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
     rows = stage(labelled(spark, sf), "pairs")
-    return M.cutoff_sensitivity(rows, small_boost(), [1996, 1997, 2000], 2001)
+    return M.cutoff_sensitivity(rows, boost(), [1996, 1997, 2000], 2001)
 
 
 @query("ablation")
 def ablation(spark: SparkSession, sf: str) -> DataFrame:
     parts = study_rows(spark, sf)
-    return M.ablation(parts["train"], parts["test"], M.forest(numTrees=20, maxDepth=2))
+    return M.ablation(parts["train"], parts["test"], boost())
+
+
+@query("fitted_models")
+def fitted_models(spark: SparkSession, sf: str) -> DataFrame:
+    """All fitted models and two baselines side by side, by their stored scores."""
+    rows = stage(labelled(spark, sf), "pairs")
+    train = rows.filter(F.col("split") == "train")
+    fits = {
+        "logistic": lambda: logistic_search(train).bestModel,
+        "forest": lambda: M.fit(train, M.forest(numTrees=100, maxDepth=3, minInstancesPerNode=5)),
+        "boosted": lambda: M.fit(train, boost(subsamplingRate=0.8, minInstancesPerNode=5)),
+        "colsample": lambda: M.fit(train, boost(featureSubsetStrategy="0.8")),
+    }
+    models = dict(zip(fits, M.at_once([*fits.values()])))
+    scored = rows.withColumn("half", F.lit(0.5))
+    for name, model in models.items():
+        scored = M.predict(model, scored).withColumnRenamed("score", name)
+    stored = stage(scored.select("split", "target", "half", "win_rate", *models), "scores")
+    return E.model_table(stored, {"share": "win_rate", "constant": "half", **{m: m for m in models}}, "target", "split")

@@ -147,8 +147,10 @@ def bootstrap_auc(
         positive = (block["_label"] == 1).to_numpy()
         starts = np.unique(block["_score"].to_numpy(), return_index=True)[1]
         parts = []
-        for first in range(0, replicates, chunk):
-            reps = np.arange(first, min(first + chunk, replicates))
+        # As many replicates at a time as keep a matrix of weights near two million cells.
+        step = max(1, min(chunk, 2_000_000 // len(block)))
+        for first in range(0, replicates, step):
+            reps = np.arange(first, min(first + step, replicates))
             w = poisson_draws(n, uniforms(seeds, reps))
             pos = np.add.reduceat(np.where(positive[:, None], w, 0.0), starts, axis=0)
             neg = np.add.reduceat(np.where(positive[:, None], 0.0, w), starts, axis=0)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -184,6 +185,12 @@ def weights(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:
     )
 
 
+def at_once(jobs: Sequence[Callable]) -> list:
+    """Results of independent fits, started together: small fits leave most cores idle."""
+    with ThreadPoolExecutor(max(1, min(8, len(jobs)))) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
 def cutoff_sensitivity(
     labelled: DataFrame,
     estimator,
@@ -193,10 +200,9 @@ def cutoff_sensitivity(
 ) -> DataFrame:
     """Test AUC of refits on training periods of different length, on the same test rows."""
     test = labelled.filter(F.col("target_year") >= test_from)
-    parts = []
-    for cutoff in cutoffs:
-        model = fit(labelled.filter(F.col("target_year") <= cutoff), estimator, features)
-        parts.append(predict(model, test, features).withColumn("cutoff", F.lit(cutoff)))
+    until = lambda cutoff: labelled.filter(F.col("target_year") <= cutoff)
+    models = at_once([lambda c=c: fit(until(c), estimator, features) for c in cutoffs])
+    parts = [predict(m, test, features).withColumn("cutoff", F.lit(c)) for m, c in zip(models, cutoffs)]
     scored = parts[0]
     for part in parts[1:]:
         scored = scored.unionByName(part)
@@ -208,9 +214,10 @@ def ablation(
 ) -> DataFrame:
     """Test AUC with each feature left out, and its change against the full model."""
     scored = None
-    for left_out in ["", *features]:
-        used = [f for f in features if f != left_out]
-        part = predict(fit(train, estimator, used), test, used)
+    without = {f: [x for x in features if x != f] for f in ["", *features]}
+    models = at_once([lambda used=used: fit(train, estimator, used) for used in without.values()])
+    for (left_out, used), model in zip(without.items(), models):
+        part = predict(model, test, used)
         part = part.select("target", "score", F.lit(left_out).alias("left_out"))
         scored = part if scored is None else scored.unionByName(part)
     table = roc_auc(scored, "score", "target", ["left_out"]).select("left_out", "auc")

@@ -17,9 +17,23 @@ def unpivot_row(row: DataFrame, fields: dict[str, Sequence[Column]], names: Sequ
     return row.select(F.inline(F.array(*structs)))
 
 
-def column_types(df: DataFrame) -> DataFrame:
-    rows = [(i, n, t) for i, (n, t) in enumerate(df.dtypes)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, type string")
+def inferred_types(df: DataFrame, declared: dict[str, str], kinds: dict[str, str]) -> DataFrame:
+    """Per text column the first of ``kinds`` (type: pattern) that all its cells match, else
+    string, and how many cells match the pattern of the declared type. One aggregate."""
+    fits = {c: {k: F.count_if(F.col(c).rlike(p)) for k, p in kinds.items()} for c in declared}
+    row = df.agg(
+        *[F.count(c).alias(f"{c}__cells") for c in declared],
+        *[n.alias(f"{c}__{k}") for c in declared for k, n in fits[c].items()],
+    )
+    fields = {}
+    for c, kind in declared.items():
+        cells = F.col(f"{c}__cells")
+        found = F.when(cells == 0, "string")
+        for k in kinds:
+            found = found.when(F.col(f"{c}__{k}") == cells, k)
+        fits_declared = F.col(f"{c}__{kind}") if kind in kinds else cells
+        fields[c] = [F.lit(kind), cells, found.otherwise("string"), fits_declared]
+    return unpivot_row(row, fields, ["declared", "cells", "inferred", "fitting"])
 
 
 def cardinality(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, partitions_for
 
-SHARD = 2048
+SHARD, PIECES_PER_FILE = 2048, 250_000
 CAPACITY, PER_SOURCE = 2048, 4
 
 
@@ -145,4 +145,5 @@ def pack(
             F.concat_ws("-", F.lit("bin"), "shard", "bin").alias("bin_id"),
         )
     )
-    return full.unionByName(rest)
+    # Narrow rows from many shards: few files hold them.
+    return full.unionByName(rest).repartition(partitions_for(rows, PIECES_PER_FILE))

@@ -32,6 +32,9 @@ from .subwords import Slice, slices
 ORDERS = (2, 3)
 BITS = 17
 UNKNOWN = "und"
+# Share of a text's letters that its language must hold for ``keep``: a short text with a line of another
+# language passes, a text of three languages in equal parts doesn't.
+LEAST = 0.35
 
 # Main code point ranges of scripts.
 SCRIPTS = {
@@ -211,7 +214,7 @@ def label(documents: DataFrame, model: Model, penalty: float = 8.0) -> DataFrame
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def keep(documents: DataFrame, model: Model, penalty: float = 8.0, least: float = 0.5, text: str = "text") -> DataFrame:
+def keep(documents: DataFrame, model: Model, penalty: float = 8.0, least: float = LEAST, text: str = "text") -> DataFrame:
     """The documents with a known language that holds at least ``least`` of their letters."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 

@@ -382,7 +382,7 @@ def test_pipeline_stages_equal_brute_force(spark):
     known = steps["language"](spark, docs, sf)
     assert known.columns == docs.columns
     model = language.fit(docs, F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
-    fine = {r.doc_id for r in language.label(docs, model).collect() if r.lang_pred != "und" and r.score >= 0.5}
+    fine = {r.doc_id for r in language.label(docs, model).collect() if r.lang_pred != "und" and r.score >= language.LEAST}
     assert {r.doc_id for r in known.collect()} == fine
     good = steps["quality"](spark, known, sf)
     labels = spark.read.parquet(f"{sf}/labels.parquet")

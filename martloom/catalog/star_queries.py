@@ -9,7 +9,7 @@ from .. import bindings as B
 from ..functions.rules import required
 from ..operators import merge as M
 from ..plans import star as S
-from ..workspace import stage
+from ..workspace import stage, stored_once
 from .registry import query
 from .sqltext import sql
 
@@ -17,9 +17,11 @@ ORDER = ["row_key"]
 
 
 def clean_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Valid, typed rows. Written, because dimensions and fact both read them."""
+    """Valid, typed rows. Written, because the dimensions and facts of all star queries read them."""
     rules = [*B.landing_rules(), *[required(c) for c in ("date", "units", "unit_price")]]
-    return stage(S.transform_transactions(B.landing_layer(spark, sf), rules), "clean")
+    return stored_once(
+        spark, ("clean", sf), lambda: S.transform_transactions(B.landing_layer(spark, sf), rules)
+    )
 
 
 def dimensions(spark: SparkSession, sf: str, clean: DataFrame) -> dict[str, DataFrame]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,23 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_STORED: dict[tuple[str, ...], str] = {}
+
+
+def stored_once(spark: SparkSession, name: tuple[str, ...], make: Callable[[], DataFrame]) -> DataFrame:
+    """A table that many queries of a session read, written when the first one asks for it.
+
+    ``name`` says all that the table depends on, such as the folder of its input.
+    """
+    key = (spark.sparkContext.applicationId, *name)
+    df = make()
+    if key not in _STORED:
+        path = fresh_dir(spark, name[0])
+        df.write.parquet(path)
+        _STORED[key] = path
+    return spark.read.schema(df.schema).parquet(_STORED[key])
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 

@@ -38,3 +38,11 @@ def free_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base = f"_{base}"
     return base
+
+
+def in_large_files(df: DataFrame, source: DataFrame, column: str = "text", per_task: int = 128 << 20) -> DataFrame:
+    """``df``, made from the rows of ``source``, in no more partitions than its text fills or there
+    are cores, so that many small partitions aren't written as many small files."""
+    total = source.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(cores, partitions_for(total, per_task)))

@@ -204,6 +204,35 @@ def failed_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return named_fact(mart, mart.snapshot())
 
 
+@query(
+    "fact_calendar",
+    sql(
+        """
+        SELECT fiscal_year, quarter, count(*) AS fact_rows, cast(sum(units) AS bigint) AS units,
+          count(*) FILTER (n > 1) AS updated_rows
+        FROM (SELECT cast(year(transaction_date) AS integer) AS fiscal_year,
+            cast(quarter(transaction_date) AS integer) AS quarter, sum(units) AS units,
+            count(DISTINCT channel_part) AS n
+          FROM (SELECT *, length(row_key) % 2 AS channel_part FROM clean)
+          GROUP BY transaction_date, region, sku, channel, customer_type)
+        GROUP BY ALL
+        """,
+        "clean",
+    ),
+)
+def fact_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, units and later updated rows of the fact by fiscal year and quarter, after two batches."""
+    mart, landing = new_mart(spark, "mart"), B.landing_layer(spark, sf)
+    for part in (0, 1):
+        rows = landing.filter(F.length("row_key") % 2 == part)
+        mart.load(rows, B.macro(spark, sf), mode="batch", batch_id=f"part-{part}", update_snapshot=False)
+    return mart.fact().groupBy("fiscal_year", "quarter").agg(
+        F.count(F.lit(1)).alias("fact_rows"),
+        F.sum("units").alias("units"),
+        F.count_if(F.col("updated_at") > F.col("created_at")).alias("updated_rows"),
+    )
+
+
 @query(
     "two_streams",
     sql(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import null_safe_join
@@ -60,16 +60,20 @@ def additive(
     sums: Sequence[str],
     firsts: Sequence[str],
     order: Sequence[str],
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per key: ``sums`` added up, ``firsts`` from the row that came first.
+    """One row per key: ``sums`` added up, ``firsts`` from the row that came first, and further
+    aggregates by name.
 
-    The result has the same columns as the input, so merging is associative: contributions may
+    Without these the result has the same columns as the input, so merging is associative: contributions may
     be combined per batch, then across batches, in any grouping.
     """
     rank = F.struct(*order)
     kept = F.min_by(F.struct(*firsts, *order), rank).alias("_first")
     added = [F.sum(c).cast(dict(rows.dtypes)[c]).alias(c) for c in sums]
-    return rows.groupBy(*keys).agg(*added, kept).select(*keys, *sums, "_first.*")
+    others = [c.alias(n) for n, c in (extra or {}).items()]
+    merged = rows.groupBy(*keys).agg(*added, *others, kept)
+    return merged.select(*keys, *sums, "_first.*", *(extra or {}))
 
 
 def merge_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

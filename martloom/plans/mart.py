@@ -19,6 +19,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..functions.rules import LATE_ROW, Rule, required
 from ..operators import quality as Q
 from ..operators.merge import last_per_key, merge_counts
@@ -43,6 +44,13 @@ CONTRIB_TYPES = {
     "batch_seq": "long",
     "sale_date": "date",
 }
+# Columns that the fact has beside those of the contributions.
+FACT_TYPES = {
+    "fiscal_year": "int",
+    "quarter": "int",
+    "created_at": "timestamp",
+    "updated_at": "timestamp",
+}
 MACRO_LOG = (
     "macro_id int, week date, housing_starts_index decimal(6,2), lumber_price_index decimal(8,2), "
     "mortgage_rate decimal(5,3), season_factor decimal(5,3), seq long"
@@ -146,11 +154,27 @@ class Mart:
         return rows.join(self.log.published(), ["batch_id", "attempt"], "left_semi")
 
     def fact(self) -> DataFrame:
-        return S.merge_contributions(self.contributions(), ORDER).drop(*ORDER)
+        return self._merged(self.contributions())
+
+    def _merged(self, contrib: DataFrame) -> DataFrame:
+        """The fact of some contributions, with its calendar and when its rows were first and last
+        loaded (a batch's sequence number is its time in microseconds)."""
+        last = {"_last": F.max("batch_seq")}
+        day = F.to_date(F.col("date_id").cast("string"), "yyyyMMdd")
+        fields = {**C.calendar(day), **C.calendar_ext(day)}
+        merged = S.merge_contributions(contrib, ORDER, last)
+        return merged.withColumns(
+            {
+                "fiscal_year": fields["fiscal_year"].cast("int"),
+                "quarter": fields["quarter"].cast("int"),
+                "created_at": F.timestamp_micros("batch_seq"),
+                "updated_at": F.timestamp_micros("_last"),
+            }
+        ).drop(*ORDER, "_last")
 
     def snapshot(self) -> DataFrame:
         types = {k: v for k, v in self.contrib_types.items() if k not in ORDER}
-        schema = struct_of({**types, "month": "int"})
+        schema = struct_of({**types, **FACT_TYPES, "month": "int"})
         return read_or_empty(self.spark, f"{self.root}/fact_sales", schema)
 
     # -- steps ---------------------------------------------------------------------------------
@@ -185,7 +209,7 @@ class Mart:
         contrib = self.contributions()
         if months is not None:
             contrib = contrib.filter(F.col("month").isin(list(months)))
-        fact = S.merge_contributions(contrib, ORDER).drop(*ORDER)
+        fact = self._merged(contrib)
         path = f"{self.root}/fact_sales"
         (
             with_month(fact)

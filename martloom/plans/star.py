@@ -271,11 +271,13 @@ def contributions(
     return keyed.select(*BUSINESS_KEY, "units", "revenue", *firsts, *order)
 
 
-def merge_contributions(contrib: DataFrame, order: Sequence[str]) -> DataFrame:
+def merge_contributions(
+    contrib: DataFrame, order: Sequence[str], extra: dict[str, Column] | None = None
+) -> DataFrame:
     """The fact: contributions of all batches added up per business key; price and macro values
     stay those of the first contribution."""
     firsts = ["unit_price", "macro_id", *MACRO_COLUMNS]
-    return M.additive(contrib, BUSINESS_KEY, ["units", "revenue"], firsts, order)
+    return M.additive(contrib, BUSINESS_KEY, ["units", "revenue"], firsts, order, extra)
 
 
 # -- views -------------------------------------------------------------------------------------

@@ -210,6 +210,17 @@ def test_snapshot_catches_up_after_a_failed_refresh(spark, mart, monkeypatch):
     assert mart.snapshot().count() == 0
 
 
+def test_fact_has_calendar_and_load_times(spark, mart):
+    first = mart.load(rows(spark, sale("1", "2024-11-04")), macro(spark), mode="batch", batch_id="a")
+    mart.load(rows(spark, sale("2", "2024-11-04"), sale("3", "2024-01-01")), mode="batch", batch_id="b")
+    assert first["status"] == "success"
+    for table in (mart.fact(), mart.snapshot()):
+        found = {r["date_id"]: r for r in table.collect()}
+        old, new = found[20241104], found[20240101]
+        assert (old["quarter"], new["quarter"]) == (4, 1)
+        assert old["created_at"] < old["updated_at"] == new["created_at"] == new["updated_at"]
+
+
 def test_rows_are_ordered_as_numbers(spark, mart):
     mart.load(rows(spark, sale("10", "2024-01-01", "1", "77"), sale("9", "2024-01-01", "1", "10")), macro(spark))
     assert facts(mart.fact()) == [(20240101, 2, 87.0, 10.0)]

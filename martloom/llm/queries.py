@@ -104,7 +104,58 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", text_crc("doc_id") % 5 == 0)
 
 
-@query("op5_quality_rules")
+OP5_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce('=' || lang, 'null') AS stratum, coalesce(text, '') AS body,
+    [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w,
+    [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+), c AS (
+  SELECT doc_id, count(DISTINCT p) AS covered FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS p FROM g JOIN (SELECT doc_id, g FROM g GROUP BY ALL HAVING count(*) > 1)
+    USING (doc_id, g)) GROUP BY 1
+), f AS (
+  SELECT doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines, coalesce(covered, 0) AS n_repeat_words,
+    length(regexp_replace(body, '[^\p{{Lu}}]', '', 'g')) AS n_capitals
+  FROM d LEFT JOIN c USING (doc_id)
+), r AS (
+  SELECT doc_id, stratum, unnest(['symbol', 'line', 'repeat', 'capital']) AS rule, unnest([
+    coalesce(n_symbols::DOUBLE / nullif(word_chars, 0), 0), coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0),
+    coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0), coalesce(n_capitals::DOUBLE / nullif(word_chars, 0), 0)]) AS rate
+  FROM f
+), m AS (
+  SELECT doc_id, max(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1
+), k AS (
+  SELECT stratum, rule, i, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND rate > cutoff) AS k,
+    count(*) FILTER (NOT good AND rate > cutoff) AS caught
+  FROM r JOIN m USING (doc_id), (SELECT unnest(range({len(quality_rules.GRID)})) AS i,
+    unnest({list(quality_rules.GRID)}::DOUBLE[]) AS cutoff) GROUP BY ALL
+), t AS (
+  SELECT *, CASE WHEN k >= n * 0.01::DOUBLE THEN false ELSE list_sum([exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+    + j * ln(0.01::DOUBLE) + (n - j) * ln(0.99::DOUBLE)) FOR j IN range(0, k + 1)])
+    <= 0.05::DOUBLE / (4 * (SELECT count(DISTINCT stratum) FROM k)) END AS refuted
+  FROM k
+), b AS (
+  SELECT stratum, rule, cutoff FROM t
+  WHERE i < coalesce((SELECT min(i) FROM t u WHERE u.stratum = t.stratum AND u.rule = t.rule AND NOT u.refuted), 99)
+    AND caught > k
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY caught - k DESC, i) = 1
+), x AS (
+  SELECT DISTINCT doc_id FROM r JOIN b USING (stratum, rule) WHERE rate > cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND x.doc_id IS NULL AS kept
+FROM f LEFT JOIN x USING (doc_id)
+"""
+
+
+@query("op5_quality_rules", OP5_SQL)
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -116,7 +167,30 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.label(docs, model).select("doc_id", (text_crc("doc_id") % 4 == 2).alias("held_out"), "lang_pred", "score")
 
 
-@query("op8_ngram_join")
+OP8_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)] END)) AS g FROM t
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), l AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (g)
+    WHERE x.doc_id < y.doc_id GROUP BY 1, 2)
+  JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * c >= 90 * (p.n + q.n - c)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+  SELECT doc_id, doc_id AS m FROM t UNION SELECT e.b, r.m FROM r JOIN e ON r.doc_id = e.a WHERE r.m < e.b
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(m) AS component_id
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query("op8_ngram_join", OP8_SQL)
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.link(table(spark, sf_dir, "documents"), k=3, percent=90)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")

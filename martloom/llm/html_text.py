@@ -49,15 +49,20 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^<>]*\Z", re.S
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+# One attribute: its name, and its value if it has one. Matches follow each other from the tag's name on.
+_ATTRIBUTE = re.compile(r"[\s/]*(=?[^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
 _SPACE = re.compile(r"\s+")
 _WORDS = re.compile(r"[\s_]+")
 
 
 def is_boilerplate(attributes: str) -> bool:
     """Whether class, id or role name a part that is never main text."""
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
+    seen = set()
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).strip().lower()
+        if name in seen:  # of attributes of one name the first counts
+            continue
+        seen.add(name)
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "role":

@@ -131,6 +131,22 @@ def test_html_cases(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "attributes, hidden",
+    [
+        ("style='overflow:hidden'", False), ('data-title="The hidden valley"', False), ("href=/hidden-gems", False), ("href='/a?id=nav'", False),
+        ("data-hidden='false'", False), ("data-id=nav", False), ("title='a class=ad b'", False), ("data-x=\"role='menu'\"", False),
+        ("aria-hidden=false", False), ("class = 'story' id=x class=ad", False), ("hidden-x", False), ("x=1 y= 'id=nav'", False),
+        ("hidden", True), ("HIDDEN=''", True), ("title='x'hidden", True), ("style='a:b' / id=nav", True), ("data-x='1' CLASS = \"big ad\"", True),
+        ("role=menu", True), ("a= b=c aria-hidden='true'", True), ("href=/x/y id='side-bar'", True),
+    ],
+)
+def test_html_compares_whole_attribute_names(attributes, hidden):
+    assert html_text.is_boilerplate(" " + attributes) == hidden
+    assert html_text.main_text(f"<article {attributes}><p>Some text</p></article>") == ("" if hidden else "Some text")
+    assert html_text.main_text(f"<p>one <span {attributes}>two</span> three</p>").replace("\n", " ") == ("one three" if hidden else "one two three")
+
+
 def test_html_edges(spark):
     pages = spark.createDataFrame([(1, None, None), (1, None, None), (None, "u", "<p>x</p>")], "page_id long, url string, html string")
     found = html_text.extract(pages.withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit(5))).collect()

@@ -2,12 +2,14 @@
 
 Markup is stripped into lines: one per block element, white space within a block turned into one
 space. Elements that never hold main text (menus, headers and footers of the page, sidebars,
-notices, adverts, forms, scripts, styles, comments of readers) leave lines of weight 0 in their place. Every other line
-weighs its text length less that of its links, and lines within ``article`` or ``main`` a bonus
-besides, so that short paragraphs there never look like a gap. Over sliding windows of lines the
-weights are summed: text starts where the sum surges from nothing and ends where it dives back to
-it; the stretch of the largest weight is the main text, together with all others inside
-``article`` or ``main``. Whole pages are read, nothing is cut.
+notices, adverts, forms, scripts, styles, comments of readers) leave lines of weight 0 in their place,
+one per block. Every other line weighs its text length less that of its links.
+
+Where a page has text within ``article`` or ``main``, that is the main text, by its element alone. Else
+weights are summed over sliding windows of lines: text starts where the sum surges to a share
+of the page's densest window and ends where it dives below a smaller one, and every such stretch is main
+text. Short lines at its edges belong to it if they lie in an element that holds its long ones, or are
+headings; others there (notices in a plain ``div``) don't. Whole pages are read, nothing is cut.
 
 Defined results: null or empty html gives an empty text, a null url stays null, repeated rows are
 returned as often as they occur, an empty table gives no rows, further columns are ignored.
@@ -18,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -38,6 +41,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CONTENT = frozenset(("article", "main"))
 # A start tag of these ends an open p, as HTML's parser does.
 ENDS_P = BLOCKS - frozenset("caption body head html option optgroup tbody td tfoot th thead tr legend title".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Blocks that stand among paragraphs.
+FLOW = HEADINGS | frozenset("p li dd dt ul ol dl blockquote pre address table tbody thead tfoot tr td th caption".split())
 BOILER = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo nav navbar navigation menu sidebar side-bar "
     "aside footer header masthead breadcrumb breadcrumbs cookie cookies consent gdpr notice notices popup modal newsletter "
@@ -46,6 +52,9 @@ BOILER = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
+# Shares of the densest window at which text surges and dives, and the sum from which a window is dense.
+SURGE, DIVE, ENOUGH = 0.3, 0.15, 600
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^<>]*\Z", re.S
 )
@@ -75,35 +84,60 @@ def is_boilerplate(attributes: str) -> bool:
     return False
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """Blocks of a page in order: text, length of text outside links, whether within content."""
-    out: list[tuple[str, int, bool]] = []
+class Line(NamedTuple):
+    """A block of a page; a part that is never main text gives lines without text."""
+
+    text: str
+    weight: int  # length of text outside links
+    inside: bool  # whether within content
+    group: tuple[int, str]  # element around the block and kind of block
+    heading: bool
+
+
+GAP = Line("", 0, False, (-1, ""), False)
+
+
+def lines_of(html: str) -> list[Line]:
+    """Blocks of a page in order."""
+    out: list[Line] = []
     text: list[str] = []
-    linked, anchors = 0, 0
-    # Open elements: name, whether it or one around it is boilerplate, whether within content.
-    stack: list[tuple[str, bool, bool]] = []
+    linked, anchors, opened = 0, 0, 0
+    # Open elements: name, whether it or one around it is boilerplate, whether within content, and of the
+    # innermost block its number, its name and the number of the block around it.
+    stack: list[tuple[str, bool, bool, int, str, int]] = []
     boiler, content = False, False
+    # Blocks of the present run of boilerplate that have no line yet.
+    skipped, marked = False, False
     at = 0
 
     def close_block():
-        nonlocal linked
+        nonlocal linked, skipped, marked
+        if skipped:
+            if not marked:
+                out.append(GAP)
+            skipped = marked = False
         if text:
             line = _SPACE.sub(" ", unescape("".join(text))).strip()
             if line:
-                out.append((line, max(0, len(line) - linked), content))
+                block, around = (stack[-1][4], stack[-1][5]) if stack else ("", -1)
+                kind = "text" if block in FLOW else block
+                out.append(Line(line, max(0, len(line) - linked), content, (around, kind), block in HEADINGS))
             text.clear()
         linked = 0
 
     def mark():
-        """A line of no weight, once per run of boilerplate."""
-        if out and out[-1][0]:
-            out.append(("", 0, False))
+        """A line of no weight for a boilerplate element, which stands for its first block too."""
+        nonlocal marked
+        out.append(GAP)
+        marked = True
 
     size = len(html)
     while at < size:
         found = _TOKEN.search(html, at)
         end = found.start() if found else size
-        if end > at and not boiler:
+        if end > at and boiler:
+            skipped = skipped or not html[at:end].isspace()
+        elif end > at:
             piece = html[at:end]
             text.append(piece)
             if anchors:
@@ -158,39 +192,49 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         content = content or name in CONTENT
         if name == "a":
             anchors += 1
-        stack.append((name, boiler, content))
+        opened += 1
+        number, block, around = stack[-1][3:] if stack else (-1, "", -1)
+        if name in BLOCKS:
+            # Lists, quotes and tables are of the element around them.
+            number, block, around = number if name in FLOW else opened, name, number
+        stack.append((name, boiler, content, number, block, around))
     close_block()
     return out
 
 
-def main_text(html: str | None, window: int = 3, surge: int = 1, bonus: int = 1000) -> str:
-    """Text between surge and dive of the line lengths, blocks joined by a newline."""
+def main_text(html: str | None, window: int = 3, surge: float = SURGE, dive: float = DIVE, enough: int = ENOUGH) -> str:
+    """Text within content, or else between surges and dives of the line lengths, blocks joined by a newline."""
     lines = lines_of(html or "")
-    weights = [w + bonus if inside else w for _, w, inside in lines]
-    spans: list[tuple[int, int, int]] = []
-    start, total = None, 0
-    running = sum(weights[:window])
-    for i in range(len(lines) + 1):
-        if start is None:
-            # Surge: the window that begins here holds text enough, beginning with its first line.
-            if i < len(lines) and weights[i] and running >= surge:
-                start, total = i, weights[i]
-        elif running == 0:  # dive: a whole window without text
-            spans.append((total, start, i))
-            start = None
-        else:
-            total += weights[i]
-        if i < len(lines):
-            running -= weights[i]
-            if i + window < len(lines):
-                running += weights[i + window]
-    if not spans:
-        return ""
-    inside = [s for s in spans if s[0] >= bonus and any(lines[i][2] for i in range(s[1], s[2]))]
+    inside = [x.text for x in lines if x.inside]
     if inside:
-        return "\n".join(lines[i][0] for _, a, b in inside for i in range(a, b) if lines[i][2] and lines[i][0])
-    _, a, b = max(spans, key=lambda s: (s[0], -s[1]))
-    return "\n".join(lines[i][0] for i in range(a, b) if lines[i][0])
+        return "\n".join(inside)
+    weights = [x.weight for x in lines]
+    sums = [sum(weights[i : i + window]) for i in range(len(lines))]
+    peak = min(max(sums, default=0), enough)
+    high, low = max(1, surge * peak), max(1, dive * peak)
+    out: list[str] = []
+    i = done = 0
+    while i < len(lines):
+        # Surge: the window that begins here holds text enough, beginning with its first line.
+        if not weights[i] or sums[i] < high:
+            i += 1
+            continue
+        end = next((j for j in range(i, len(lines)) if sums[j] < low), len(lines))
+        strong = {x.group for x in lines[i:end] if x.weight >= high}
+        # Short lines at the edges belong to a stretch if they are blocks among its long ones, or head them.
+        while strong and not lines[i].heading and lines[i].weight < high and lines[i].group not in strong:
+            i += 1
+        while strong and lines[end - 1].weight < high and lines[end - 1].group not in strong:
+            end -= 1
+        first, last = i, end
+        while first > done and lines[first - 1].text and lines[first - 1].group in strong:
+            first -= 1
+        while last < len(lines) and lines[last].text and lines[last].group in strong:
+            last += 1
+        # Links alone are text only between the lines of a stretch.
+        out += [x.text for j, x in enumerate(lines[first:last], first) if x.text and (x.weight or i <= j < end)]
+        i = done = last
+    return "\n".join(out)
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

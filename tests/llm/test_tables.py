@@ -147,6 +147,38 @@ def test_html_compares_whole_attribute_names(attributes, hidden):
     assert html_text.main_text(f"<p>one <span {attributes}>two</span> three</p>").replace("\n", " ") == ("one three" if hidden else "one two three")
 
 
+LONG = "A sentence of the story that is told here at some length, with more to follow. " * 4
+LINKS = "".join(f"<p><a href='/r{i}'>reference {i}</a></p>" for i in range(3))
+
+
+@pytest.mark.parametrize(
+    "html, lines",
+    [
+        # Link-only blocks in mid-article part two stretches; both are kept, the smaller one too.
+        (f"<div><p>{LONG}</p><p>{LONG}</p>{LINKS}<p>{LONG}</p><p>The end.</p></div>", [LONG, LONG, LONG, "The end."]),
+        # Unlisted boilerplate around the text, and a short last paragraph within it.
+        (f"<div>We use files.</div><div><h1>Head</h1><p>{LONG}</p><p>So.</p></div><div>All rights reserved.</div>", ["Head", LONG, "So."]),
+        # As many lines of no weight as the boilerplate has blocks.
+        (f"<p>{LONG}</p><nav><p>a</p><p>b</p><p>c</p></nav><div>Notice of some kind</div>", [LONG]),
+        (f"<div><p>{LONG}</p><ul><li>one</li><li>two</li></ul></div>", [LONG, "one", "two"]),
+        (f"<div><p>One.</p><p>Two.</p><p>Three.</p><p>{LONG}</p></div>", ["One.", "Two.", "Three.", LONG]),
+    ],
+)
+def test_html_without_content_elements(html, lines):
+    assert html_text.main_text(html) == "\n".join(x.strip() for x in lines)
+
+
+def test_html_finds_articles_without_their_elements(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    exact = 0
+    for r in pages:
+        bare = re.sub(r"<(/?)article>", r"<\1div>", r.html)
+        assert html_text.main_text(bare) == article(r.html)
+        plain = re.sub(r"<(/?)(?:nav|footer)>", r"<\1div>", bare.replace('<div class="ad">', "<div>"))
+        exact += html_text.main_text(plain) == article(r.html)
+    assert exact > 0.95 * len(pages)
+
+
 def test_html_edges(spark):
     pages = spark.createDataFrame([(1, None, None), (1, None, None), (None, "u", "<p>x</p>")], "page_id long, url string, html string")
     found = html_text.extract(pages.withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit(5))).collect()

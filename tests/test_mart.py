@@ -8,7 +8,8 @@ from martloom.operators.lookup import lookup
 from martloom.plans import mart as T
 from martloom.plans import star as S
 from martloom.plans.control import DeadLetters, MarkStore
-from martloom.streaming.ingest import file_stream, ingest_stream, rollup_stream, weekly_rollup
+from martloom.streaming.ingest import file_stream, ingest_stream
+from martloom.streaming.rollup import rollup_stream, weekly_rollup
 
 SCHEMA = (
     "row_no string, date string, region string, product_category string, sku string, "

@@ -205,6 +205,75 @@ def failed_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return named_fact(mart, mart.snapshot())
 
 
+SUMS_SQL = """
+  SELECT transaction_date AS date, region AS region_name, sku, channel AS channel_name,
+    customer_type, cast(sum(units) AS bigint) AS units,
+    cast(sum(cast(revenue AS decimal(15,2))) AS double) AS revenue
+  FROM clean GROUP BY ALL
+"""
+
+
+def half(landing: DataFrame, part: int) -> DataFrame:
+    return landing.filter(F.length("row_key") % 2 == part)
+
+
+@query("racing_refresh", sql(SUMS_SQL, "clean"))
+def racing_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch of the same months is published while the snapshot is refreshed: the next look at what is
+    pending finds it, since the refresh covers no more than the log it read."""
+    mart, landing = new_mart(spark, "mart"), B.landing_layer(spark, sf)
+    how = {"mode": "batch", "update_snapshot": False}
+    mart.load(half(landing, 0), B.macro(spark, sf), batch_id="a", **how)
+    mart.refresh_snapshot(check=lambda: mart.load(half(landing, 1), batch_id="b", **how))
+    mart.catch_up()
+    return named_fact(mart, mart.snapshot()).drop("unit_price")
+
+
+@query(
+    "racing_loads",
+    sql(
+        """
+        SELECT sku, cast(sum(units) AS bigint) AS units, CAST(1 AS BIGINT) AS product_ids,
+          3 AS log_rows FROM clean GROUP BY sku
+        """,
+        "clean",
+    ),
+)
+def racing_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads number new products at once: the one that publishes second does its work again, so
+    every SKU has one id and every id one SKU."""
+    mart, landing, macro = new_mart(spark, "mart"), B.landing_layer(spark, sf), B.macro(spark, sf)
+    how = {"mode": "batch", "update_snapshot": False}
+
+    def other(contribution: DataFrame) -> None:
+        if not mart.log.position():
+            mart.load(half(landing, 1), macro, batch_id="b", **how)
+
+    mart.load(half(landing, 0), macro, batch_id="a", check=other, **how)
+    products = mart.dims()["product"].select("product_id", "sku")
+    per_sku = mart.fact().join(products, "product_id").groupBy("sku")
+    return per_sku.agg(
+        F.sum("units").alias("units"),
+        F.count_distinct("product_id").alias("product_ids"),
+        F.lit(mart.log.position()).alias("log_rows"),
+    )
+
+
+@query("vacuumed", sql(SUMS_SQL, "clean"))
+def vacuumed(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch loaded twice, one that is withdrawn, one that is refused: what can't be reached is removed and nothing
+    else changes."""
+    mart, landing, macro = new_mart(spark, "mart"), B.landing_layer(spark, sf), B.macro(spark, sf)
+    how = {"mode": "batch", "update_snapshot": False}
+    mart.load(half(landing, 0), macro, batch_id="a", **how)
+    mart.load(landing, macro, mode="batch", batch_id="a")
+    mart.load(half(landing, 1), batch_id="b", **how)
+    mart.withdraw("b")
+    mart.catch_up()
+    mart.vacuum()
+    return named_fact(mart, mart.snapshot()).drop("unit_price")
+
+
 @query(
     "fact_calendar",
     sql(

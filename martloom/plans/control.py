@@ -1,12 +1,12 @@
 """Control tables: high-water marks, batch log, dead letters.
 
-Marks and log are append-only and small; the current state is the latest row per key, so a
+Marks and batches are rows of one commit log; the current state is the latest row per key, so a
 crashed writer leaves either the old or the new state.
 """
 
 from __future__ import annotations
 
-import time
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +15,14 @@ from pyspark.sql import types as T
 
 from ..operators.merge import last_per_key
 from ..sources.files import struct_of
+from .commits import CommitLog
 
-MARK_SCHEMA = "source_name string, last_processed_value string, batch_id string, seq long"
 LOG_SCHEMA = (
     "batch_id string, attempt string, source_name string, mode string, status string, "
     "mark string, start_time timestamp, "
     "end_time timestamp, duration_seconds double, rows_processed long, rows_inserted long, "
-    "rows_updated long, rows_rejected long, error_count long, months string, seq long"
+    "rows_updated long, rows_rejected long, error_count long, months string, "
+    "new_products long, as_of long"
 )
 # In ``months``: every month there is.
 ALL_MONTHS = "all"
@@ -50,25 +51,24 @@ def read_or_empty(spark: SparkSession, path: str, schema: str, form: str = "parq
 
 
 class BatchLog:
-    """One row per attempt of a batch."""
+    """One row per attempt of a batch, and one per refresh of the snapshot, in the order of their commits."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.commits = spark, CommitLog(spark, path, LOG_SCHEMA)
 
-    def table(self) -> DataFrame:
-        return read_or_empty(self.spark, self.path, LOG_SCHEMA)
+    def position(self) -> int:
+        return self.commits.position()
 
-    def append(self, **fields) -> None:
-        names = T.StructType.fromDDL(LOG_SCHEMA).names
-        row = [tuple({**fields, "seq": time.time_ns()}.get(n) for n in names)]
-        self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+    def table(self, as_of: int | None = None) -> DataFrame:
+        return self.commits.table(as_of)
 
-    def published(self) -> DataFrame:
+    def append(self, check: Callable[[], None] | None = None, **fields) -> int:
+        return self.commits.append(fields, check)
+
+    def published(self, as_of: int | None = None) -> DataFrame:
         """The successful attempt of each batch that counts: its last one. A full load hides
         every batch before it."""
-        done = self.table().filter(F.col("status") == "success")
+        done = self.table(as_of).filter(F.col("status") == "success")
         rebuilt = done.filter(F.col("mode") == "full").agg(F.max("seq")).scalar()
         live = done.filter(F.col("seq") >= F.coalesce(rebuilt, F.lit(0)))
         return last_per_key(live, ["batch_id"], ["seq"]).select("batch_id", "attempt")
@@ -79,44 +79,61 @@ class BatchLog:
 
     def judged(self) -> DataFrame:
         """The attempt of each batch whose letters count: the last successful one, else the last."""
-        tries = self.table().filter(F.col("attempt").isNotNull())
+        tries = self.table().filter(F.col("attempt").isNotNull() & F.col("batch_id").isNotNull())
         good = (F.col("status") == "success").cast("int")
         rank = tries.withColumn("good", good)
         return last_per_key(rank, ["batch_id"], ["good", "seq"]).select("batch_id", "attempt")
 
+    def months_of(self, batch_id: str) -> set[int]:
+        """Months that published attempts of a batch have touched."""
+        rows = self.table().filter((F.col("batch_id") == batch_id) & (F.col("status") == "success"))
+        listed = rows.filter(F.coalesce("months", F.lit("")) != "").select(F.explode(F.split("months", ",")).alias("m"))
+        return {int(r["m"]) for r in listed.distinct().collect() if r["m"] != ALL_MONTHS}
+
     def pending_months(self) -> list[int] | None:
-        """Months that published batches have touched since the snapshot last covered them, a
-        handful; None for all months."""
+        """Months that published batches have touched since the position as of which a refresh last
+        covered them, a handful; None for all months."""
         rows = self.table().filter(F.col("months").isNotNull() & (F.col("months") != ""))
-        each = rows.select("status", "seq", F.explode(F.split("months", ",")).alias("month"))
+        each = rows.select("status", "seq", "as_of", F.explode(F.split("months", ",")).alias("month"))
         touched = F.max(F.when(F.col("status") == "success", F.col("seq"))).alias("touched")
-        covered = F.max(F.when(F.col("status") == "snapshot", F.col("seq"))).alias("covered")
+        covered = F.max(F.when(F.col("status") == "snapshot", F.col("as_of"))).alias("covered")
         found = {r["month"]: (r["touched"] or 0, r["covered"] or 0) for r in each.groupBy("month").agg(touched, covered).collect()}
         touched_all, covered_all = found.pop(ALL_MONTHS, (0, 0))
         if touched_all > covered_all:
             return None
         return sorted(int(m) for m, (t, c) in found.items() if t > max(c, covered_all))
 
+    def snapshot_parts(self) -> tuple[str | None, dict[int, str]]:
+        """Which attempt of the snapshot holds which month: the one made as of the latest position. The first
+        value holds every month that the second doesn't name."""
+        rows = self.table().filter(F.col("status") == "snapshot").select("months", "attempt", "as_of", "seq").collect()
+        whole, parts = (0, 0, None), {}
+        for r in rows:
+            made = (r["as_of"], r["seq"], r["attempt"])
+            if r["months"] == ALL_MONTHS:
+                whole = max(whole, made, key=lambda x: x[:2])
+            else:
+                for month in r["months"].split(","):
+                    parts[int(month)] = max(parts.get(int(month), made), made, key=lambda x: x[:2])
+        return whole[2], {m: made[2] for m, made in parts.items() if made[:2] > whole[:2]}
+
     def marks(self) -> DataFrame:
-        """Marks reached by successful batches. They are part of the log row, so a batch becomes
-        visible and moves the mark in one write."""
-        done = self.table().filter((F.col("status") == "success") & F.col("mark").isNotNull())
-        return done.select(
+        """Marks reached by successful batches, which are part of the row that publishes them, and marks
+        set by hand."""
+        reached = (F.col("status") == "success") & F.col("mark").isNotNull()
+        return self.table().filter(reached | (F.col("status") == "mark")).select(
             "source_name", F.col("mark").alias("last_processed_value"), "batch_id", "seq"
         )
 
 
 class MarkStore:
-    """High-water mark per source: the latest of the marks set here and those in ``log``."""
+    """High-water mark per source: the latest of those in ``log``, or in a log of its own."""
 
     def __init__(self, spark: SparkSession, path: str, log: BatchLog | None = None):
-        self.spark, self.path, self.log = spark, path, log
+        self.log = log or BatchLog(spark, path)
 
     def table(self) -> DataFrame:
-        rows = read_or_empty(self.spark, self.path, MARK_SCHEMA)
-        if self.log is not None:
-            rows = rows.unionByName(self.log.marks())
-        return last_per_key(rows, ["source_name"], ["seq"])
+        return last_per_key(self.log.marks(), ["source_name"], ["seq"])
 
     def get(self, source: str) -> date | None:
         row = self.table().filter(F.col("source_name") == source).first()
@@ -125,10 +142,7 @@ class MarkStore:
 
     def set(self, source: str, value: date | None, batch_id: str | None = None) -> None:
         text = value.isoformat() if value else None
-        row = [(source, text, batch_id, time.time_ns())]
-        self.spark.createDataFrame(row, MARK_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        self.log.append(source_name=source, status="mark", mark=text, batch_id=batch_id)
 
     def reset(self, source: str) -> None:
         self.set(source, None)

@@ -6,7 +6,14 @@ through its ``success`` row in the batch log and in no other way. From that foll
 leaves nothing but its dead letters and its row in the log, a retried batch replaces itself
 instead of adding twice, and a batch can be withdrawn or rewritten. The fact is the sum of all
 published contributions; ``snapshot`` keeps it compacted by month. The log says which months a batch
-touched and which a refresh covered, so that a refresh that failed is made up for by the next.
+touched and as of which position a refresh covered them, so that a refresh that failed, or that a
+batch overtook, is made up for by the next.
+
+Loads are optimistic. A load remembers the position of the log that it read; when it publishes, it looks
+at what was committed since, and if that changes what it did (another load moved the mark that it took rows
+by, or both brought new products and numbered them alike) it does its work again from the log as it is then. A
+refresh writes files of its own and names them in its row; of several refreshes of a month the one that read the log at the
+latest position is the one that is read.
 """
 
 from __future__ import annotations
@@ -25,9 +32,12 @@ from ..operators import quality as Q
 from ..operators.merge import last_per_key, merge_counts
 from ..sources.files import struct_of
 from . import star as S
+from .commits import Conflict, Store
 from .control import ALL_MONTHS, BatchLog, DeadLetters, MarkStore, read_or_empty
 
 ORDER = ["batch_seq", "sale_date", "row_no"]
+DIMENSIONS = ("dim_date", "dim_product", "dim_macro_log")
+TRIES = 5  # of a load whose commits meet others
 CONTRIB_TYPES = {
     "date_id": "int",
     "region_id": "int",
@@ -145,13 +155,13 @@ class Mart:
         log = self._brought("dim_macro_log", MACRO_LOG, attempt)
         return last_per_key(log, ["macro_id"], ["seq"]).drop("seq")
 
-    def contributions(self) -> DataFrame:
-        """Contributions of published attempts. The log is one row per batch; joined on the
-        partition columns it prunes the folders of every other attempt."""
+    def contributions(self, as_of: int | None = None) -> DataFrame:
+        """Contributions of published attempts, or of those published up to a position of the log. The log is one
+        row per batch; joined on the partition columns it prunes the folders of every other attempt."""
         types = {**self.contrib_types, "month": "int", "batch_id": "string", "attempt": "string"}
         path, schema = f"{self.root}/contrib", struct_of(types)
         rows = read_or_empty(self.spark, path, schema)
-        return rows.join(self.log.published(), ["batch_id", "attempt"], "left_semi")
+        return rows.join(self.log.published(as_of), ["batch_id", "attempt"], "left_semi")
 
     def fact(self) -> DataFrame:
         return self._merged(self.contributions())
@@ -173,9 +183,17 @@ class Mart:
         ).drop(*ORDER, "_last")
 
     def snapshot(self) -> DataFrame:
+        """The compacted fact; each month is read from the files of one refresh alone."""
         types = {k: v for k, v in self.contrib_types.items() if k not in ORDER}
-        schema = struct_of({**types, **FACT_TYPES, "month": "int"})
-        return read_or_empty(self.spark, f"{self.root}/fact_sales", schema)
+        schema = struct_of({**types, **FACT_TYPES, "attempt": "string", "month": "int"})
+        rows = read_or_empty(self.spark, f"{self.root}/fact_sales", schema)
+        whole, parts = self.log.snapshot_parts()
+        kept = F.col("attempt") == F.lit(whole)
+        if parts:
+            kept &= ~F.col("month").isin(list(parts))
+        for attempt in set(parts.values()):
+            kept |= (F.col("attempt") == attempt) & F.col("month").isin([m for m, a in parts.items() if a == attempt])
+        return rows.filter(kept).drop("attempt")
 
     # -- steps ---------------------------------------------------------------------------------
 
@@ -188,45 +206,43 @@ class Mart:
         rows = S.macro_rows(S.transform_macro(macro)).withColumn("seq", F.lit(seq).cast("long"))
         self._bring(rows, "dim_macro_log", batch_id, attempt)
 
-    def extend_dims(self, clean: DataFrame, batch_id: str, attempt: str) -> None:
+    def extend_dims(self, clean: DataFrame, batch_id: str, attempt: str) -> int:
         """Dates and products the dimensions lack; existing members stay as they are, so a
-        repeated call appends nothing."""
+        repeated call appends nothing. Returns the number of products."""
         dims = self.dims()
         dates = S.date_rows(clean, "transaction_date")
         fresh = dates.join(dims["date"].select("date_id"), "date_id", "left_anti")
         self._bring(fresh, "dim_date", batch_id, attempt)
         products = S.new_products(clean, dims["product"], dims["category"], self.config.prefixes)
         self._bring(products, "dim_product", batch_id, attempt)
+        path = f"{self.root}/dim_product/batch_id={batch_id}/attempt={attempt}"
+        return self.spark.read.schema(S.PRODUCT_SCHEMA).parquet(path).count()
 
     def refresh_snapshot(
-        self, months: Sequence[int] | None = None, corrected: bool = True
+        self, months: Sequence[int] | None = None, check: Callable[[], None] | None = None
     ) -> None:
         """Rebuild the compacted fact, for the given months only when there are any, and log it.
 
         The rebalance hint lets adaptive execution cut a month that holds most of the rows into
-        several files and put small ones together.
+        several files and put small ones together. ``check`` is called before the refresh is logged.
         """
-        contrib = self.contributions()
+        as_of, attempt = self.log.position(), uuid.uuid4().hex
+        contrib = self.contributions(as_of)
         if months is not None:
             contrib = contrib.filter(F.col("month").isin(list(months)))
-        fact = self._merged(contrib)
-        path = f"{self.root}/fact_sales"
         (
-            with_month(fact)
+            with_month(self._merged(contrib))
             .hint("rebalance", "month")
             .sortWithinPartitions("date_id")
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static" if months is None else "dynamic")
             .partitionBy("month")
-            .parquet(path)
+            .parquet(f"{self.root}/fact_sales/attempt={attempt}")
         )
-        if months is not None and corrected:
-            # A corrected batch may have left a month without any row.
-            left = {r["month"] for r in contrib.select("month").distinct().collect()}
-            for month in set(months) - left:
-                fact.limit(0).write.mode("overwrite").parquet(f"{path}/month={month}")
+        if check is not None:
+            check()
         covered = ALL_MONTHS if months is None else ",".join(map(str, months))
-        self.log.append(source_name=self.config.source, status="snapshot", months=covered)
+        fields = {"status": "snapshot", "months": covered, "attempt": attempt, "as_of": as_of}
+        self.log.append(source_name=self.config.source, **fields)
 
     # -- loads ---------------------------------------------------------------------------------
 
@@ -250,30 +266,48 @@ class Mart:
         c = self.config
         seq = int(datetime.now(timezone.utc).timestamp() * 1_000_000)
         named, batch_id = batch_id is not None, batch_id or f"{c.source}-{seq}"
-        attempt = uuid.uuid4().hex
         started = datetime.now(timezone.utc).replace(tzinfo=None)
-        summary = {"batch_id": batch_id, "mode": mode, "status": "failed"}
         # A batch id that was loaded before keeps its place in the order of batches.
         earlier = self._first_seq(batch_id) if named else None
-        try:
-            self._load(
-                *(summary, transactions, macro, mode, batch_id, attempt, seq),
-                *(seq if earlier is None else earlier, source_file, check),
-            )
-        except Exception as e:
-            self._finish(summary, attempt, started, status="rolled_back", error=str(e))
-            raise
-        if mode == "dry":
-            self._finish(summary, attempt, started, status="dry")
-            return summary
-        # What is to be refreshed is part of the row that publishes the batch.
-        months = self._months(batch_id) if earlier is not None else summary["months"]
-        touched = ALL_MONTHS if mode == "full" else ",".join(map(str, months))
-        self._finish(summary, attempt, started, status="success", months=touched)
+        place = seq if earlier is None else earlier
+        for left in reversed(range(TRIES)):
+            attempt, as_of = uuid.uuid4().hex, self.log.position()
+            summary = {"batch_id": batch_id, "mode": mode, "status": "failed"}
+            try:
+                self._load(summary, transactions, macro, mode, batch_id, attempt, seq, place, source_file, check)
+                if mode == "dry":
+                    self._finish(summary, attempt, started, status="dry")
+                    return summary
+                # What is to be refreshed is part of the row that publishes the batch. A corrected batch also
+                # touches the months that its earlier attempts had filled.
+                months = sorted({*summary["months"], *(self.log.months_of(batch_id) if earlier is not None else ())})
+                touched = ALL_MONTHS if mode == "full" else ",".join(map(str, months))
+                unchanged = lambda: self._look_again(summary, as_of)  # noqa: B023, E731
+                self._finish(summary, attempt, started, status="success", months=touched, check=unchanged)
+                break
+            except Conflict as e:
+                self._finish(summary, attempt, started, status="conflict", error=str(e))
+                if not left:
+                    raise
+            except Exception as e:
+                self._finish(summary, attempt, started, status="rolled_back", error=str(e))
+                raise
         if update_snapshot:
             self.catch_up()
         return summary
 
+    def _look_again(self, summary: dict, as_of: int) -> None:
+        """Raises if a batch published since ``as_of`` changes what a load did."""
+        others = (F.col("seq") > as_of) & (F.col("status") == "success") & (F.col("batch_id") != summary["batch_id"])
+        found = self.log.table().filter(others).agg(
+            F.count_if(F.col("mark").isNotNull() & (F.col("source_name") == self.config.source)).alias("marks"),
+            F.count_if(F.col("new_products") > 0).alias("products"),
+        ).first()
+        if summary["mode"] == "incremental" and found["marks"]:
+            raise Conflict("the mark has moved")
+        if summary["new_products"] and found["products"]:
+            raise Conflict("other products were numbered")
+
     def catch_up(self) -> None:
         """Refresh the snapshot by all months that published batches have touched since."""
         months = self.log.pending_months()
@@ -313,7 +347,7 @@ class Mart:
             raise TooManyErrors(f"{seen['invalid_rows']} invalid rows")
         if macro is not None:
             self.load_macro(macro, seq, batch_id, attempt)
-        self.extend_dims(taken, batch_id, attempt)
+        summary["new_products"] = self.extend_dims(taken, batch_id, attempt)
 
         placed = taken.withColumns(
             {
@@ -361,24 +395,42 @@ class Mart:
         return earlier.agg(F.min("batch_seq").alias("s")).first()["s"]
 
     def withdraw(self, batch_id: str) -> None:
-        """Take a batch out of the fact; its files stay until they are cleaned up."""
-        touched = ",".join(map(str, self._months(batch_id)))
+        """Take a batch out of the fact; its files stay until ``vacuum`` removes them."""
+        touched = ",".join(map(str, sorted(self.log.months_of(batch_id))))
         self.log.append(batch_id=batch_id, attempt="withdrawn", status="success", months=touched)
 
-    def _months(self, batch_id: str) -> list[int]:
-        """Months any attempt of the batch has touched (a handful), so that a correction also
-        rebuilds the months its earlier version had filled."""
-        types = {**self.contrib_types, "month": "int", "batch_id": "string", "attempt": "string"}
-        rows = read_or_empty(self.spark, f"{self.root}/contrib", struct_of(types))
-        touched = rows.filter(F.col("batch_id") == batch_id).select("month").distinct()
-        return [r["month"] for r in touched.collect()]
-
-    def _finish(self, summary, attempt, started, status, error=None, months=None) -> None:
+    def vacuum(self) -> int:
+        """Removes files that no read can reach any more, and returns how many attempts went: those of attempts that
+        failed, were replaced or withdrawn, or lie before a full load, and the files of refreshes that
+        newer ones have taken the place of. Attempts that the log doesn't know may still run and stay; what published
+        attempts brought to the dimensions stays as well."""
+        rows = self.log.table().filter(F.col("attempt").isNotNull() & F.col("batch_id").isNotNull())
+        ended = {(r["batch_id"], r["attempt"]) for r in rows.filter("status <> 'dry'").select("batch_id", "attempt").collect()}
+        live = {tuple(r) for r in self.log.published().collect()}
+        judged = {tuple(r) for r in self.log.judged().collect()}
+        brought = {tuple(r) for r in self.log.succeeded().collect()}
+        gone = set()
+        for table, kept in (("contrib", live), ("layers", live), ("dead_letters", judged), *[(d, brought) for d in DIMENSIONS]):
+            for batch_id, attempt in ended - kept:
+                store = Store(self.spark, f"{self.root}/{table}/batch_id={batch_id}")
+                if f"attempt={attempt}" in store.names():
+                    store.delete(f"attempt={attempt}")
+                    gone.add(attempt)
+        whole, parts = self.log.snapshot_parts()
+        made = {r["attempt"] for r in self.log.table().filter("status = 'snapshot'").select("attempt").collect()}
+        store = Store(self.spark, f"{self.root}/fact_sales")
+        for attempt in made - {whole, *parts.values()}:
+            if f"attempt={attempt}" in store.names():
+                store.delete(f"attempt={attempt}")
+                gone.add(attempt)
+        return len(gone)
+
+    def _finish(self, summary, attempt, started, status, error=None, months=None, check=None) -> None:
         ended = datetime.now(timezone.utc).replace(tzinfo=None)
-        summary["status"] = status
         if error:
             summary["error"] = error
         self.log.append(
+            check,
             batch_id=summary["batch_id"],
             attempt=attempt,
             source_name=self.config.source,
@@ -394,7 +446,9 @@ class Mart:
             rows_rejected=summary.get("invalid_rows"),
             error_count=summary.get("error_count"),
             months=months,
+            new_products=summary.get("new_products"),
         )
+        summary["status"] = status
 
     def summary_table(self) -> DataFrame:
         """Counts per layer of the last finished batch, and the mark."""

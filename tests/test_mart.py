@@ -195,7 +195,7 @@ def test_failed_retry_keeps_the_published_attempt(spark, mart):
 
 
 def test_snapshot_catches_up_after_a_failed_refresh(spark, mart, monkeypatch):
-    def fail(months=None, corrected=True):
+    def fail(months=None, check=None):
         raise OSError("disk")
 
     monkeypatch.setattr(mart, "refresh_snapshot", fail)

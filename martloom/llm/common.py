@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +52,39 @@ def in_large_files(df: DataFrame, source: DataFrame, column: str = "text", per_t
     total = source.agg(F.sum(F.octet_length(column))).first()[0] or 0
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.coalesce(max(cores, partitions_for(total, per_task)))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """Lowers the rows of an Arrow batch for what is written inside: a worker that reads whole texts then holds
+    a few MB of them at once instead of 10,000 texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def release_memory() -> None:
+    """Gives freed memory back to the system: idle Python workers of a stage live on beside the next one."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A mapper of batches that gives its memory back when its task ends."""
+
+    def held(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return held

@@ -31,6 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_memory
 from .subwords import Slice, slices
 
 ORDERS = (2, 3)
@@ -291,8 +292,12 @@ def keep(documents: DataFrame, model: Model, penalty: float = 8.0, least: float
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def known(texts: pd.Series) -> pd.Series:
-        best, share, _, known = _label([t or "" for t in texts], shared.value, penalty)
-        return pd.Series((best >= 0) & (share >= least) & (known >= EXPLAINED))
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            for texts in batches:
+                best, share, _, known = _label([t or "" for t in texts], shared.value, penalty)
+                yield pd.Series((best >= 0) & (share >= least) & (known >= EXPLAINED))
+        finally:
+            release_memory()
 
     return documents.where(known(F.col(text).cast("string")))

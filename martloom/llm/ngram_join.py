@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workspace import stage
-from .common import beside, free_name, partitions_for
+from .common import beside, free_name, frugal, partitions_for, small_batches
 from .components import ROWS, components, narrow
-from .shingles import groups, mix, shingle_set
+from .shingles import groups, mix, shingle_sets
 
 ONE = np.uint64(1)
-GROUP_CHARS = 8 << 20  # texts signed together in a task
+GROUP_CHARS = 4 << 20  # texts signed together in a task
 KEY_BYTES = 24 << 20  # bytes of text whose signatures meet in one task
 SAMPLE_DOCS, FREQUENT, MOST_FREQUENT = 5000, 3, 200_000
 BLOCK_DOCS, BLOCK_ELEMENTS = 512, 4 << 20
@@ -82,33 +82,55 @@ def signatures(whole: np.ndarray, rare: np.ndarray, percent: int) -> np.ndarray:
     ``RARE`` of the band's size remains, and with ``whole`` unless ``d`` more than that remains; as
     similar sets' remainders differ by at most ``d``, one of the two is signed by both.
     """
-    first = bands(percent, len(whole).bit_length() + 1)
-    own = band_of(percent, len(whole))
-    out = []
+    return sign_many(whole, np.array([len(whole)]), np.isin(whole, rare, assume_unique=True), percent)[0]
+
+
+def sign_many(elements: np.ndarray, sizes: np.ndarray, rare: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """``signatures`` of many sets that lie end to end, none empty: keys, and which set each is of.
+
+    ``rare``: per element whether it isn't frequent.
+    """
+    first = bands(percent, int(sizes.max(initial=1)).bit_length() + 1)
+    own = np.searchsorted(first, sizes, "right") - 1
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    remain = np.bincount(owner[rare], minlength=len(sizes))
+    keys, owners = [], []
     for band in (own, own + 1):
-        last = int(first[band]) * 100 // percent
+        last = first[band] * 100 // percent
         d = most_apart(percent, last, last)
-        m = d + 1 + int(np.ceil(SPARE * d))
-        least = RARE * last
-        for mode, elements in ((1, rare if len(rare) >= least else None), (0, whole if len(rare) < least + d else None)):
-            if elements is None:
+        m = d + 1 + np.ceil(SPARE * d).astype(np.int64)
+        salt = (2 * band + 1).astype(np.uint64)
+        for mode, signs in ((1, remain >= RARE * last), (0, remain < RARE * last + d)):
+            who = np.flatnonzero(signs)
+            if not len(who):
                 continue
-            h = mix(elements + np.uint64(2 * band + 1))
-            part = (((h >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            part, h = part[order], h[order]
-            begin = np.flatnonzero(np.diff(part, prepend=-1))
-            parity, total, count = np.zeros(m, np.uint64), np.zeros(m, np.uint64), np.zeros(m, np.int64)
-            if len(begin):
-                # The part's 64 bits of the sketch, and a sum that tells sets of equal parity apart.
-                parity[part[begin]] = np.bitwise_xor.reduceat(ONE << (h & np.uint64(63)), begin)
-                total[part[begin]] = np.add.reduceat(mix(h), begin)
-                count[part[begin]] = np.diff(np.append(begin, len(h)))
-            key = mix(mix(parity ^ mix(total)) ^ mix(np.arange(m, dtype=np.uint64) + np.uint64((4 * band + mode) << 32)))
-            if m > d + 1:
-                key = key[np.lexsort((key, count))[m - d - 1 :]]
-            out.append(key)
-    return np.concatenate(out)
+            taken = signs[owner] & rare if mode else signs[owner]
+            of = owner[taken]
+            h = mix(elements[taken] + salt[of])
+            parts = m[who]
+            begin = np.cumsum(parts) - parts
+            offset = np.zeros(len(sizes), np.int64)
+            offset[who] = begin
+            part = (((h >> np.uint64(32)) * m[of].astype(np.uint64)) >> np.uint64(32)).astype(np.int64) + offset[of]
+            total = int(parts.sum())
+            # The part's 64 bits of the sketch, and a sum that tells sets of equal parity apart.
+            parity, added = np.zeros(total, np.uint64), np.zeros(total, np.uint64)
+            np.bitwise_xor.at(parity, part, ONE << (h & np.uint64(63)))
+            np.add.at(added, part, mix(h))
+            count = np.bincount(part, minlength=total)
+            name = np.arange(total, dtype=np.uint64) - np.repeat(begin, parts).astype(np.uint64)
+            name += np.repeat((4 * band[who] + mode).astype(np.uint64) << np.uint64(32), parts)
+            key = mix(mix(parity ^ mix(added)) ^ mix(name))
+            # Order by content: the number of elements, then the key.
+            order = np.minimum(count, 15).astype(np.uint64) << np.uint64(60) | key >> np.uint64(4)
+            stays = np.ones(total, bool)
+            for a, n, left in zip(begin.tolist(), parts.tolist(), (parts - d[who] - 1).tolist()):
+                if left > 0:
+                    mine = order[a : a + n]
+                    stays[a : a + n] = mine > np.partition(mine, left - 1)[left - 1]
+            keys.append(key[stays])
+            owners.append(np.repeat(who, parts)[stays])
+    return np.concatenate(keys), np.concatenate(owners)
 
 
 def _stars(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,56 +167,68 @@ def _signer(k: int, percent: int, buckets: int, frequent):
 
     def sign(ids: list, texts: list[str]) -> Iterator[tuple]:
         common = frequent.value
-        sets = [shingle_set(t, k) for t in texts]
-        named = [i for i, d in enumerate(ids) if d is not None]
-        at = (int(ids[named[0]]) if named else 0) % buckets
-        yield _pack(at, DOC, [len(sets[i]) for i in named], (), [int(ids[i]) for i in named])
+        elements, sizes = shingle_sets(texts, k)
+        end = np.cumsum(sizes)
+        named = np.array([i for i, d in enumerate(ids) if d is not None], np.int64)
+        number = np.array([-1 if d is None else int(d) for d in ids], np.int64)
+        at = int(number[named[0]]) % buckets if len(named) else 0
+        yield _pack(at, DOC, sizes[named], (), number[named])
         if len(named) < len(ids):
-            yield _pack(at, NAMELESS, [len(s) for s, d in zip(sets, ids) if d is None])
+            yield _pack(at, NAMELESS, [n for n, d in zip(sizes, ids) if d is None])
         # Equal sets of the batch: the smallest id stands for them.
-        named = sorted((i for i in named if len(sets[i])), key=lambda i: int(ids[i]))
-        first: dict[tuple[int, int], int] = {}
-        reps, copies = [], []
-        for i in named:
-            s = sets[i]
-            name = int(mix(s).sum()) ^ len(s), int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum())
-            if name in first:
-                if first[name] != int(ids[i]):
-                    copies.append((first[name], int(ids[i])))
-            else:
-                first[name] = int(ids[i])
-                reps.append(i)
-        if copies:
-            a, b = np.array(copies, np.int64).T
-            yield _pack(at, COPY, a.astype(np.uint64), (), b)
-        if not reps:
+        named = named[sizes[named] > 0]
+        named = named[np.argsort(number[named], kind="stable")]
+        if not len(named):
             return
-        names = np.array(list(first), np.uint64).reshape(-1, 2)
-        order = np.argsort(names[:, 0])
-        yield from split(EQUAL, names[order, 0], names[order, 1], np.array(list(first.values()), np.int64)[order])
-        signed = []
-        for i in reps:
-            s = sets[i]
-            if len(common):
-                found = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                signed.append(signatures(s, s[common[found] != s], percent))
-            else:
-                signed.append(signatures(s, s, percent))
-        owners = np.repeat(np.array([int(ids[i]) for i in reps], np.int64), [len(x) for x in signed])
-        keys, owners, edges = _stars(np.concatenate(signed), owners)
+        sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(x))) for x in (mix(elements), mix(elements ^ np.uint64(0x5851F42D4C957F2D)))]
+        one, two = (s[end[named]] - s[end[named] - sizes[named]] for s in sums)
+        names = np.stack([one ^ sizes[named].astype(np.uint64), two], 1)
+        _, first, same = np.unique(names, axis=0, return_index=True, return_inverse=True)
+        leader = first[same.reshape(-1)]
+        copies = np.stack([number[named[leader]], number[named]], 1)
+        copies = np.unique(copies[copies[:, 0] != copies[:, 1]], axis=0)
+        if len(copies):
+            yield _pack(at, COPY, copies[:, 0].astype(np.uint64), (), copies[:, 1])
+        order = first[np.argsort(names[first, 0], kind="stable")]
+        yield from split(EQUAL, names[order, 0], names[order, 1], number[named[order]])
+        reps = named[np.sort(first)]
+        if len(reps) < len(sizes):
+            kept = np.zeros(len(sizes), bool)
+            kept[reps] = True
+            elements = elements[np.repeat(kept, sizes)]
+            reps = np.flatnonzero(kept)
+        rare = np.ones(len(elements), bool)
+        if len(common):
+            rare = common[np.minimum(np.searchsorted(common, elements), len(common) - 1)] != elements
+        keys, owners = sign_many(elements, sizes[reps], rare, percent)
+        keys, owners, edges = _stars(keys, number[reps][owners])
         yield from split(SIGNED, keys, np.zeros(0, np.uint64), owners)
         if len(edges):
             yield _pack(at, EDGE, edges[:, 0].astype(np.uint64), (), edges[:, 1])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in PACKED.split(", ")]
-        for batch in batches:
-            texts = [t or "" for t in batch["text"]]
-            ids = [None if pd.isna(x) else x for x in batch["id"]]
-            for a, b in groups([len(t) for t in texts], GROUP_CHARS):
-                yield pd.DataFrame(list(sign(ids[a:b], texts[a:b])), columns=names)
+        for ids, texts in gathered(((b["id"], b["text"]) for b in batches), GROUP_CHARS):
+            yield pd.DataFrame(list(sign(ids, texts)), columns=names)
+
+    return frugal(run)
 
-    return run
+
+def gathered(batches: Iterator[tuple], limit: int) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of batches in lists of about ``limit`` characters, whatever the batches' size."""
+    ids: list = []
+    texts: list[str] = []
+    size = 0
+    for some, of in batches:
+        for i, t in zip(some, of):
+            ids.append(None if pd.isna(i) else i)
+            texts.append(t or "")
+            size += len(texts[-1])
+            if size >= limit:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 FOUND = "kind int, a long, b long"
@@ -241,11 +275,10 @@ def _frequent(rows: DataFrame, k: int) -> np.ndarray:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for text in batch["text"]:
-                yield pd.DataFrame({"h": shingle_set(text, k).view(np.int64)})
+            yield pd.DataFrame({"h": shingle_sets(list(batch["text"]), k)[0].view(np.int64)})
 
     sample = rows.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < share).select("text")
-    counts = sample.mapInPandas(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
+    counts = sample.mapInPandas(frugal(run), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
     held = counts.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).select("h").toPandas()["h"].to_numpy(np.int64)
     return np.sort(held.view(np.uint64))
 
@@ -308,9 +341,11 @@ def _setter(k: int):
             texts = list(batch["text"])
             for a, b in groups([len(t or "") for t in texts], GROUP_CHARS):
                 part = batch.iloc[a:b].drop(columns="text")
-                yield part.assign(elements=[shingle_set(t, k).tobytes() for t in texts[a:b]])
+                elements, sizes = shingle_sets(texts[a:b], k)
+                cuts = np.split(elements, np.cumsum(sizes)[:-1])
+                yield part.assign(elements=[x.tobytes() for x in cuts])
 
-    return run
+    return frugal(run)
 
 
 def _blocks(live: DataFrame, percent: int) -> DataFrame:
@@ -370,9 +405,11 @@ def link(documents: DataFrame, k: int, percent: int, doc_id: str = "doc_id", tex
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(size, KEY_BYTES))
     frequent = spark.sparkContext.broadcast(_frequent(rows, k))
     signed = rows.mapInPandas(_signer(k, percent, buckets, frequent), PACKED)
-    # Small tables are written by few tasks: their files cost more than their rows.
     met = signed.groupBy("bucket").applyInPandas(_meet, FOUND)
-    found = stage(met.repartition(partitions_for(4 * size // 1000, ROWS)), "signed")
+    with small_batches(spark):
+        # Small tables are written by few tasks: their files cost more than their rows.
+        found = stage(met.repartition(partitions_for(4 * size // 1000, ROWS)), "signed")
+    frequent.unpersist()
     counts = {r["kind"]: r["n"] for r in found.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     pairs = lambda kind: found.where(F.col("kind") == kind).select("a", "b")
     copies, n_copies = pairs(COPY), counts.get(COPY, 0)
@@ -392,7 +429,8 @@ def link(documents: DataFrame, k: int, percent: int, doc_id: str = "doc_id", tex
         _setter(k), "id long, unit string, part string, side int, crossed boolean, elements binary"
     )
     links = sets.groupBy("unit").applyInPandas(_verifier(percent), "a long, b long")
-    linked = stage(links.repartition(partitions_for(n_live, ROWS)), "linked")
+    with small_batches(spark):
+        linked = stage(links.repartition(partitions_for(n_live, ROWS)), "linked")
     labels, _ = components(linked.unionByName(copies), n_live + n_copies, "links")
     return found.where(F.col("kind") == DOC).select(F.col("a").alias("id"), F.col("b").alias("n_shingles")).join(
         labels, F.col("id") == F.col("node"), "left"

@@ -260,3 +260,45 @@ def test_queries_return_all_rows(spark):
     assert got.count() == docs and got.where("grown_shard IS NOT NULL OR law <> 'bytes'").count() == 0
     convs = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
     assert REGISTRY["op12_repair"][0](spark, SF).count() == convs
+
+
+# --- shingles and components of many at once ---
+
+
+def test_shingle_sets_equal_those_of_single_texts(monkeypatch):
+    import numpy as np
+
+    from martloom.llm import shingles
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdÉ") for _ in range(rng.randrange(12))) for _ in range(200)]
+    texts += [None, "", " \n", "A b\tC", "x" * 300, "a a a a a a", "\x0bq\x0c", "word " * 100]
+    for limit in (1 << 20, 64):
+        monkeypatch.setattr(shingles, "SLICE", limit)
+        for k in (1, 3, 5):
+            elements, sizes = shingles.shingle_sets(texts, k)
+            assert [x.tolist() for x in np.split(elements, np.cumsum(sizes)[:-1])] == [shingles.shingle_set(t, k).tolist() for t in texts]
+        words, keys = shingles.word_sequences(texts)
+        split = [tuple((t or "").encode().lower().split()) for t in texts]
+        assert words.tolist() == [len(x) for x in split]
+        assert len(set(keys.tolist())) == len(set(split)) and len(set(zip(keys.tolist(), split))) == len(set(split))
+    assert [len(x) for x in shingles.shingle_sets([], 3)] == [0, 0]
+
+
+@pytest.mark.parametrize("few", [0, 5, 1000])
+def test_components_end_in_one_task_or_by_rounds(spark, monkeypatch, few):
+    from martloom.llm import components as C
+
+    monkeypatch.setattr(C, "FEW", few)
+    rng = random.Random(few)
+    pairs = [(i, i + 1) for i in range(100, 120)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(7, 7)]
+    found, count = C.components(spark.createDataFrame(pairs, "a long, b long"), len(pairs))
+    least = {x: x for p in pairs for x in p}
+    while True:
+        before = dict(least)
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+        if before == least:
+            break
+    want = {x: m for x, m in least.items() if x != m}
+    assert {r["node"]: r["component"] for r in found.collect()} == want and count == len(want)

@@ -20,16 +20,19 @@ are packed like others; an empty table gives no rows; further columns are ignore
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import stage
 from . import ngram_join
-from .common import SPACE, partitions_for
+from .common import SPACE, frugal, partitions_for, small_batches
 from .components import components, narrow
+from .shingles import word_sequences
 
 SHARD, PIECES_PER_FILE = 2048, 250_000
 CAPACITY, PER_SOURCE = 2048, 4
@@ -158,20 +161,28 @@ def pack(
     return full.unionByName(rest).repartition(partitions_for(rows, PIECES_PER_FILE))
 
 
+MEASURED = "doc_id long, source string, words long, same long"
+
+
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of words of each text, and a key of their sequence in lower case."""
+    for batch in batches:
+        words, same = word_sequences([(t or "").lower() for t in batch.column(2).to_pylist()])
+        columns = [batch.column(0), batch.column(1), pa.array(words, pa.int64()), pa.array(same.view(np.int64), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "words", "same"])
+
+
 def near_clusters(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``source``, ``words``, ``same`` (key of the text) and ``cluster`` of every row.
 
     A cluster joins documents over any number of links, by ``percent`` of equal shingles of ``k`` words or as
     copies up to case and white space. Rows with null ids have only their copies.
     """
-    text = F.col("text").cast("string")
-    slim = stage(
-        documents.select(
-            F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-            word_count(text).alias("words"), same_text(text).alias("same"),
-        ),
-        "slim",
+    narrow_rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")
     )
+    with small_batches(documents.sparkSession):
+        slim = stage(narrow_rows.mapInArrow(frugal(_measure), MEASURED), "slim")
     rows = slim.count()
     near = ngram_join.link(documents, k, percent).where("component_id <> id").select(F.col("id").alias("a"), F.col("component_id").alias("b"))
     first = stage(narrow(slim.groupBy("same").agg(F.min("doc_id").alias("first")), rows), "first")

@@ -199,10 +199,10 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = """
 WITH v AS (
   SELECT vec_id, [floor(x::DOUBLE * 256) FOR x IN embedding] AS x FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CASE WHEN len(q.x) = 0 THEN 0 ELSE list_dot_product(q.x, c.x) END::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0
 )
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score

@@ -302,3 +302,26 @@ def test_components_end_in_one_task_or_by_rounds(spark, monkeypatch, few):
             break
     want = {x: m for x, m in least.items() if x != m}
     assert {r["node"]: r["component"] for r in found.collect()} == want and count == len(want)
+
+
+# --- top-k beyond doubles ---
+
+
+def test_topk_ranks_huge_components_and_empty_vectors(spark):
+    from martloom.llm import topk
+
+    rng = random.Random(2)
+    big = [2.0**55, -(2.0**60), 2.0**1020, 3.5, -0.001, 2.0**53 + 2, 0.0]
+    vectors = {i: [rng.choice(big) for _ in range(3)] for i in range(40)}
+    vectors |= {50: [], 51: [], 52: [2.0**55, 0.0, 0.0], 53: [1.0], 54: [1.0, None, 2.0], 55: None, 56: [float("inf"), 0.0, 0.0]}
+    frame = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    usable = {i: [topk.whole(x, 256) for x in v] for i, v in vectors.items() if v is not None and None not in v and float("inf") not in v}
+    assert usable[52][0] == 2**63 and topk.whole(-0.001, 256) == -1
+    want = []
+    for q, x in usable.items():
+        if q % 50 in (0, 2, 7):
+            scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in usable.items() if i != q and len(y) == len(x))
+            want += [(q, n + 1, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(scores[:5])]
+    got = topk.top_k(frame, F.col("id").isin([q for q in usable if q % 50 in (0, 2, 7)]))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert (50, 1, 51, 0) in want

@@ -7,7 +7,7 @@ crashed writer leaves either the old or the new state.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ LOG_SCHEMA = (
     "mark string, start_time timestamp, "
     "end_time timestamp, duration_seconds double, rows_processed long, rows_inserted long, "
     "rows_updated long, rows_rejected long, error_count long, months string, "
-    "new_products long, as_of long"
+    "new_products long, as_of long, place long"
 )
 # In ``months``: every month there is.
 ALL_MONTHS = "all"
@@ -84,6 +84,16 @@ class BatchLog:
         rank = tries.withColumn("good", good)
         return last_per_key(rank, ["batch_id"], ["good", "seq"]).select("batch_id", "attempt")
 
+    def places(self) -> DataFrame:
+        """Per published batch its place in the order of batches and the position that published it."""
+        done = self.table().select("batch_id", "attempt", "place", "seq")
+        return done.join(self.published(), ["batch_id", "attempt"], "left_semi").filter("place IS NOT NULL")
+
+    def replays(self) -> list[tuple[int, datetime]]:
+        """Position and time of every replay of dead letters, one row each."""
+        rows = self.table().filter("status = 'success' AND mode = 'replay'").select("seq", "end_time")
+        return sorted((r["seq"], r["end_time"]) for r in rows.collect())
+
     def months_of(self, batch_id: str) -> set[int]:
         """Months that published attempts of a batch have touched."""
         rows = self.table().filter((F.col("batch_id") == batch_id) & (F.col("status") == "success"))

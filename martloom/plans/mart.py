@@ -25,6 +25,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..functions.rules import LATE_ROW, Rule, required
@@ -37,6 +38,7 @@ from .control import ALL_MONTHS, BatchLog, DeadLetters, MarkStore, read_or_empty
 
 ORDER = ["batch_seq", "sale_date", "row_no"]
 DIMENSIONS = ("dim_date", "dim_product", "dim_macro_log")
+REPLAYED = "origin_batch string, row_index string"
 TRIES = 5  # of a load whose commits meet others
 CONTRIB_TYPES = {
     "date_id": "int",
@@ -86,7 +88,7 @@ class MartConfig:
     ``row_no`` orders rows inside a date and must be unique; it decides which price a merged key
     keeps. Its order is that of ``row_type``: numbers by default, "string" for text keys.
     ``max_error_rows`` aborts a load with more invalid rows, whose letters are kept; None accepts
-    any number.
+    any number. A dead letter that ``give_up_after`` replays didn't bring in is given up.
     """
 
     rules: Sequence[Rule]
@@ -99,6 +101,7 @@ class MartConfig:
     unknown_id: int = -1
     source: str = "transactions"
     max_error_rows: int | None = None
+    give_up_after: int = 3
 
 
 def new_rows(df: DataFrame, mark: date | None, day: str = "transaction_date") -> DataFrame:
@@ -248,7 +251,7 @@ class Mart:
 
     def load(
         self,
-        transactions: DataFrame,
+        transactions: DataFrame | Callable[[], DataFrame],
         macro: DataFrame | None = None,
         mode: str = "incremental",
         batch_id: str | None = None,
@@ -260,8 +263,9 @@ class Mart:
 
         ``incremental`` takes rows after the mark and advances it; ``batch`` takes all rows and
         ignores the mark (streams, corrections of history); ``full`` rebuilds the fact from this
-        input alone; ``dry`` writes the validated layer and publishes nothing. ``check`` may
-        inspect the contribution and raise to reject the batch.
+        input alone; ``dry`` writes the validated layer and publishes nothing; ``replay`` is for ``replay``. ``check`` may
+        inspect the contribution and raise to reject the batch. A function in place of rows is asked again if the load has
+        to do its work again.
         """
         c = self.config
         seq = int(datetime.now(timezone.utc).timestamp() * 1_000_000)
@@ -272,9 +276,10 @@ class Mart:
         place = seq if earlier is None else earlier
         for left in reversed(range(TRIES)):
             attempt, as_of = uuid.uuid4().hex, self.log.position()
-            summary = {"batch_id": batch_id, "mode": mode, "status": "failed"}
+            summary = {"batch_id": batch_id, "mode": mode, "status": "failed", "place": place}
             try:
-                self._load(summary, transactions, macro, mode, batch_id, attempt, seq, place, source_file, check)
+                rows = transactions() if callable(transactions) else transactions
+                self._load(summary, rows, macro, mode, batch_id, attempt, seq, place, source_file, check)
                 if mode == "dry":
                     self._finish(summary, attempt, started, status="dry")
                     return summary
@@ -302,12 +307,57 @@ class Mart:
         found = self.log.table().filter(others).agg(
             F.count_if(F.col("mark").isNotNull() & (F.col("source_name") == self.config.source)).alias("marks"),
             F.count_if(F.col("new_products") > 0).alias("products"),
+            F.count_if(F.col("mode") == "replay").alias("replays"),
         ).first()
         if summary["mode"] == "incremental" and found["marks"]:
             raise Conflict("the mark has moved")
+        if summary["mode"] == "replay" and found["replays"]:
+            raise Conflict("other letters were replayed")
         if summary["new_products"] and found["products"]:
             raise Conflict("other products were numbered")
 
+    def letters(self) -> DataFrame:
+        """Dead letters with ``status`` and ``processed_at``.
+
+        A letter is replayed once its row is in a published replay, given up after ``give_up_after`` replays of its
+        batch's letters that left it out, and pending until then. Both follow from what is published, so no write but a
+        replay's own moves a letter on.
+        """
+        rows = read_or_empty(self.spark, f"{self.root}/replayed", f"{REPLAYED}, batch_id string, attempt string")
+        times = self.log.table().select("batch_id", "attempt", F.col("end_time").alias("entered"))
+        entered = rows.join(self.log.published(), ["batch_id", "attempt"], "left_semi").join(times, ["batch_id", "attempt"])
+        entered = entered.select(F.col("origin_batch").alias("batch_id"), "row_index", "entered")
+        tried = [F.struct(F.lit(seq).cast("long").alias("seq"), F.lit(at).alias("at")) for seq, at in self.log.replays()]
+        empty = F.array().cast("array<struct<seq:bigint,at:timestamp>>")
+        since = F.filter(F.array(*tried) if tried else empty, lambda x: x["seq"] > F.coalesce("seq", F.lit(0)))
+        limit = F.lit(self.config.give_up_after)
+        known = self.dead_letters.read().join(self.log.places().select("batch_id", "seq"), "batch_id", "left")
+        marked = known.join(entered, ["batch_id", "row_index"], "left").withColumn("since", since)
+        status = F.when(F.col("entered").isNotNull(), "replayed").when(F.size("since") >= limit, "given_up").otherwise("pending")
+        last = F.when(F.size("since") >= limit, F.element_at("since", limit)["at"])
+        return marked.withColumns({"status": status, "processed_at": F.coalesce("entered", last)}).drop("since", "entered", "seq")
+
+    def replay(self, schema: T.StructType, **how) -> dict:
+        """Takes in the rows of pending letters that the rules of today accept.
+
+        A row enters the fact under the place of its own batch, so a key keeps the price of its first row as if
+        the row had been accepted then. The replay is a load like others: its one row in the log publishes
+        the rows and marks their letters as replayed, so none enters twice, whenever it fails. ``schema`` is that of raw rows.
+        Letters of unpublished batches and of late rows aren't replayed.
+        """
+
+        def rows() -> DataFrame:
+            pending = self.letters().filter("status = 'pending'")
+            late = F.max(F.col("error_type") == LATE_ROW).alias("late")
+            per_row = pending.groupBy("batch_id", "row_index").agg(F.min("original_data").alias("data"), late)
+            placed = per_row.filter("NOT late").join(self.log.places(), "batch_id")
+            row = F.from_json("data", schema).alias("row")
+            return placed.select(row, "batch_id", "place").select(
+                "row.*", F.col("batch_id").alias("origin_batch"), F.col("place").alias("batch_place")
+            )
+
+        return self.load(rows, mode="replay", **how)
+
     def catch_up(self) -> None:
         """Refresh the snapshot by all months that published batches have touched since."""
         months = self.log.pending_months()
@@ -342,8 +392,13 @@ class Mart:
             return
         letters = errors.withColumn("row_index", F.col("row_index").cast("string"))
         letters = letters.unionByName(late_errors, allowMissingColumns=True)
-        self.dead_letters.write(letters, batch_id, source_file, attempt)
-        if c.max_error_rows is not None and seen["invalid_rows"] > c.max_error_rows:
+        if mode == "replay":
+            # Rows that still break a rule have their letters already.
+            entered = taken.select("origin_batch", F.col(c.row_no).cast("string").alias("row_index"))
+            self._bring(entered, "replayed", batch_id, attempt)
+        else:
+            self.dead_letters.write(letters, batch_id, source_file, attempt)
+        if mode != "replay" and c.max_error_rows is not None and seen["invalid_rows"] > c.max_error_rows:
             raise TooManyErrors(f"{seen['invalid_rows']} invalid rows")
         if macro is not None:
             self.load_macro(macro, seq, batch_id, attempt)
@@ -351,7 +406,7 @@ class Mart:
 
         placed = taken.withColumns(
             {
-                "batch_seq": F.lit(place).cast("long"),
+                "batch_seq": (F.col("batch_place") if mode == "replay" else F.lit(place)).cast("long"),
                 "sale_date": F.col("transaction_date"),
                 "row_no": F.col(c.row_no).cast(c.row_type),
             }
@@ -387,7 +442,7 @@ class Mart:
             inserted=inserted,
             updated=rows["loaded"] - inserted,
             late_rows=rows["late"],
-            mark=None if mode == "batch" else rows["top"] or mark,
+            mark=None if mode in ("batch", "replay") else rows["top"] or mark,
         )
 
     def _first_seq(self, batch_id: str) -> int | None:
@@ -410,7 +465,7 @@ class Mart:
         judged = {tuple(r) for r in self.log.judged().collect()}
         brought = {tuple(r) for r in self.log.succeeded().collect()}
         gone = set()
-        for table, kept in (("contrib", live), ("layers", live), ("dead_letters", judged), *[(d, brought) for d in DIMENSIONS]):
+        for table, kept in (("contrib", live), ("layers", live), ("replayed", live), ("dead_letters", judged), *[(d, brought) for d in DIMENSIONS]):
             for batch_id, attempt in ended - kept:
                 store = Store(self.spark, f"{self.root}/{table}/batch_id={batch_id}")
                 if f"attempt={attempt}" in store.names():
@@ -447,6 +502,7 @@ class Mart:
             error_count=summary.get("error_count"),
             months=months,
             new_products=summary.get("new_products"),
+            place=summary.get("place"),
         )
         summary["status"] = status
 

@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -179,6 +180,42 @@ def test_html_finds_articles_without_their_elements(spark):
     assert exact > 0.95 * len(pages)
 
 
+@pytest.mark.parametrize(
+    "name", "no-sidebar has-comments article-header content-menu share-price social-policy skip-none sidebar widget related".split()
+)
+def test_html_wrappers_of_the_article_stay(name):
+    story = f'<article><h1>Head</h1><p>{LONG}</p></article>'
+    assert html_text.main_text(f'<div class="{name}">{story}</div><footer>foot</footer>') == f"Head\n{LONG.strip()}"
+
+
+def test_html_names_within_articles():
+    html = '<article><div class="article-header"><h1>Title</h1></div><p class="related-work">Para.</p><div class="share-buttons">x</div></article>'
+    assert html_text.main_text(html) == "Title\nPara."
+    # A page within a form, as some frameworks write it; comments are no main text, however long.
+    assert html_text.main_text(f"<form><p>{LONG}</p><p>{LONG}</p></form><p>So.</p>") == f"{LONG.strip()}\n{LONG.strip()}"
+    assert html_text.main_text(f"<p>Short.</p><div class=comments><article><p>{LONG * 9}</p></article></div>") == "Short."
+
+
+def test_html_windows_weigh_text_outside_content():
+    outside = "<div><p>" + LONG * 12 + "</p></div>"
+    assert html_text.main_text(f"<article><p>{LONG}</p></article><div>Short notice</div>") == LONG.strip()
+    assert html_text.main_text(f"<article><p>{LONG}</p></article><nav>x</nav><nav>x</nav>{outside}") == f"{LONG.strip()}\n{(LONG * 12).strip()}"
+
+
+@pytest.mark.parametrize(
+    "html, length",
+    [
+        ('<a "' * 250_000, 999_996), ('<b x=">' * 150_000, 0), ("<span></p>" * 100_000 + "end", 3), ("<p><caption>" + "<span>" * 90_000 + "<div></div>" * 90_000, 0),
+        ("<a" + " " * 1_000_000 + "></a>x", 1), ("&#" + "9" * 1_000_000 + ";", 1), ("<div class=sidebar>" * 60_000 + "x", 0),
+        ('<p title="unclosed>one</p><p>two</p>', 7), ("<!-" * 300_000, 0), ("<a href='" + "<i>" * 200_000, 0),
+    ],
+)
+def test_html_broken_markup_takes_linear_time(html, length):
+    begun = time.perf_counter()
+    assert len(html_text.main_text(html)) == length
+    assert time.perf_counter() - begun < 30
+
+
 def test_html_edges(spark):
     pages = spark.createDataFrame([(1, None, None), (1, None, None), (None, "u", "<p>x</p>")], "page_id long, url string, html string")
     found = html_text.extract(pages.withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit(5))).collect()

@@ -3,7 +3,9 @@
 import collections
 import hashlib
 import math
+import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -311,6 +313,22 @@ def test_text_pieces_split_alike(ranks, monkeypatch):
         assert sum(coder.words(text), []) == coder.split.findall(text)
 
 
+def test_bpe_many_long_words_in_one_text(ranks, monkeypatch):
+    coder = bpe.Coder(ranks, bpe.merge_pairs(ranks), public_tokenizers.PATTERN)
+    exact = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    draw = random.Random(7)
+    words = ["".join(draw.choices("abcdefgh\u00e9\u6f22", k=k)) for k in (50, 100, 120) for _ in range(1200)]
+    text = " ".join([*words, "x" * 256, "ab" * 700])
+    begun = time.perf_counter()
+    ids = bpe.ids_of(next(coder.encode([text])))
+    assert time.perf_counter() - begun < 60
+    assert ids.tolist() == exact.encode_ordinary(text)
+    monkeypatch.setattr(bpe, "DECODE_IDS", 1000)  # one text over many rounds, and empty ones between
+    assert coder.decode([ids[:0], ids, ids[:3], ids[:0]]) == [b"", text.encode(), exact.decode_bytes(ids[:3].tolist()), b""]
+    with pytest.raises(ValueError):
+        coder.decode([np.array([len(ranks) + 7])])
+
+
 # --- chat ---
 
 

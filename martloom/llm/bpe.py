@@ -38,7 +38,7 @@ from .shingles import groups
 
 LONG = 256
 GROUP_CHARS, PIECE_CHARS, MEMORY = 4 << 20, 1 << 20, 400_000
-ROUND_BYTES, DECODE_IDS = 1 << 19, 1 << 19
+ROUND_BYTES, DECODE_IDS = 1 << 17, 1 << 19
 
 # A row knows the place of its token (word and position in one number), the place after it, and of the pair with
 # the token after it the rank and position in one number and the place after the pair. Each round: the best pair per
@@ -59,13 +59,11 @@ WITH RECURSIVE rows(word, place, after, id, pair, stop, done) AS (
         b.pair IS NULL AS done, b.pair IS NOT NULL AND (r.place = b.place OR r.after = b.place) AS stale
       FROM rows r JOIN best b ON r.word = b.word
       WHERE NOT r.done AND (b.pair IS NULL OR r.place <> b.gone)
-    ), fresh AS (
-      SELECT n.place, m.id::BIGINT << 32 | (n.place & 4294967295) AS pair, n.stop
-      FROM (SELECT a.place, a.id::BIGINT << 32 | b.id AS both, b.after AS stop FROM kept a JOIN kept b ON b.place = a.after WHERE a.stale) n
-      JOIN merges m ON m.both = n.both
     )
-    SELECT k.word, k.place, k.after, k.id, CASE WHEN k.stale THEN f.pair ELSE k.pair END, CASE WHEN k.stale THEN f.stop ELSE k.stop END, k.done
-    FROM kept k LEFT JOIN fresh f ON f.place = k.place
+    SELECT word, place, after, id, pair, stop, done FROM kept WHERE NOT stale
+    UNION ALL
+    SELECT a.word, a.place, a.after, a.id, m.id::BIGINT << 32 | (a.place & 4294967295), CASE WHEN m.id IS NOT NULL THEN b.after END, false
+    FROM (SELECT * FROM kept WHERE stale) a LEFT JOIN kept b ON b.place = a.after LEFT JOIN merges m ON m.both = a.id::BIGINT << 32 | b.id
   )
 )
 SELECT word, id FROM rows WHERE done ORDER BY place
@@ -123,12 +121,12 @@ def contract_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 @dataclass
 class Coder:
-    """One task's engine; what it keeps of a word is its number of ids, the ids as text and as 32-bit numbers."""
+    """One task's engine; what it keeps of a word is its ids as text and as 32-bit numbers."""
 
     ranks: dict[bytes, int]
     merges: np.ndarray
     pattern: str
-    memory: dict[str, tuple[int, str, bytes]] = field(default_factory=dict)
+    memory: dict[str, tuple[str, bytes]] = field(default_factory=dict)
 
     def __post_init__(self):
         self.split = regex.compile(self.pattern)
@@ -163,9 +161,10 @@ class Coder:
             data = word.encode()
             rank = self.ranks.get(data)
             if rank is not None:
-                self.keep(word, np.array([rank], np.int32))
+                self.keep([word], np.array([rank], np.int32), [1])
             elif len(data) > LONG:
-                self.keep(word, np.array(contract_long(data, self.ranks), np.int32))
+                ids = contract_long(data, self.ranks)
+                self.keep([word], np.array(ids, np.int32), [len(ids)])
             else:
                 todo.append(word)
                 raw.append(data)
@@ -181,12 +180,14 @@ class Coder:
             self.fill("tokens", {"word": word, "place": word.astype(np.int64) << 32 | place, "id": self.byte_id[codes]})
             found = self.engine.execute(CONTRACT).fetchnumpy()
             ends = np.cumsum(np.bincount(found["word"], minlength=len(part)))
-            ids = np.asarray(found["id"], np.int32)
-            for name, a, b in zip(names, [0, *ends[:-1].tolist()], ends.tolist()):
-                self.keep(name, ids[a:b])
+            self.keep(names, np.asarray(found["id"], np.int32), ends.tolist())
 
-    def keep(self, word: str, ids: np.ndarray) -> None:
-        self.memory[word] = (len(ids), " ".join(map(str, ids.tolist())), ids.tobytes())
+    def keep(self, words: list[str], ids: np.ndarray, ends: list[int]) -> None:
+        """Remember words, whose ids lie one after the other up to ``ends``."""
+        texts, data, a = list(map(str, ids.tolist())), ids.tobytes(), 0
+        for word, b in zip(words, ends):
+            self.memory[word] = (" ".join(texts[a:b]), data[4 * a : 4 * b])
+            a = b
 
     def words(self, text: str) -> Iterator[list[str]]:
         """Words of a text, piece by piece. A word never runs from other text into white space, so
@@ -199,7 +200,7 @@ class Coder:
             yield self.split.findall(text, at, end) if end - at < len(text) else self.split.findall(text)
             at = end
 
-    def encode(self, texts: list[str]) -> Iterator[list[tuple[int, str, bytes]]]:
+    def encode(self, texts: list[str]) -> Iterator[list[tuple[str, bytes]]]:
         """Per text what is kept of its words, in order. Only one text's words are held at a time."""
         for a, b in groups([len(t) for t in texts], GROUP_CHARS):
             seen: set[str] = set()
@@ -231,9 +232,9 @@ class Coder:
         return [b"".join(x) for x in out]
 
 
-def ids_of(kept: list[tuple[int, str, bytes]]) -> np.ndarray:
+def ids_of(kept: list[tuple[str, bytes]]) -> np.ndarray:
     """Ids of a text from what is kept of its words."""
-    return np.frombuffer(b"".join([x[2] for x in kept]), np.int32)
+    return np.frombuffer(b"".join([x[1] for x in kept]), np.int32)
 
 
 _CODERS: dict[str, Coder] = {}
@@ -296,7 +297,7 @@ def round_trip(documents: DataFrame, ranks: dict[bytes, int], pattern: str, doc_
             digests, decoded, waiting, size = [], [], [], 0
             for kept in coder.encode([t or "" for t in batch["text"]]):
                 ids = ids_of(kept)
-                digests.append((len(ids), hashlib.sha256(" ".join([x[1] for x in kept]).encode()).hexdigest()))
+                digests.append((len(ids), hashlib.sha256(" ".join([x[0] for x in kept]).encode()).hexdigest()))
                 waiting.append(ids)
                 size += len(ids)
                 if size >= DECODE_IDS:

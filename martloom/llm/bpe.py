@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .shingles import groups
 
 LONG = 256
-GROUP_CHARS, PIECE_CHARS, MEMORY = 4 << 20, 1 << 20, 400_000
+GROUP_CHARS, PIECE_CHARS, MEMORY = 4 << 20, 1 << 20, 800_000
 ROUND_BYTES, DECODE_IDS = 1 << 17, 1 << 19
 
 # A row knows the place of its token (word and position in one number), the place after it, and of the pair with

@@ -2,7 +2,8 @@
 
 from .functions.rules import Bounds, Rule, annotate, sales_rules, warning_rules
 from .operators.evaluate import bootstrap_interval, brier, model_table, roc_auc, threshold_metrics
-from .operators.ordered import average_ranks, dense_numbers, exact_quantiles, running_total
+from .operators.ordered import average_ranks, dense_numbers, running_total
+from .operators.selection import exact_quantiles
 from .operators.panel import label_next_period, with_split
 from .operators.quality import error_rows, metrics, split
 from .plans.control import BatchLog, DeadLetters, MarkStore

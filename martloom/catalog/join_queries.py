@@ -11,7 +11,8 @@ from ..operators import lookup as L
 from ..operators import panel as P
 from ..operators import profile as R
 from ..operators import quality as Q
-from ..operators.ordered import average_ranks, exact_quantiles
+from ..operators.ordered import average_ranks
+from ..operators.selection import exact_quantiles
 from ..plans import star
 from .registry import query
 from .sqltext import sql

@@ -131,9 +131,7 @@ def validation_metrics(spark: SparkSession, sf: str) -> DataFrame:
     sql("SELECT error_type, count(*) AS error_count FROM errors GROUP BY 1", "errors"),
 )
 def error_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.error_distribution(
-        Q.error_rows(Q.invalid_rows(annotated(spark, sf)), B.landing_rules(), "row_key")
-    )
+    return Q.error_type_counts(B.landing_layer(spark, sf), B.landing_rules())
 
 
 @query(

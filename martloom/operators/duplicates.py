@@ -8,14 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import null_safe_join
 
 
+def _rank(order: Sequence[str]) -> Column:
+    """What orders rows: one column as it is, which a hash aggregate can hold if its width is fixed."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    rank = F.struct(*order)
+    rank = _rank(order)
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("group_size"), F.min(rank).alias("_first"))
@@ -29,7 +34,7 @@ def flag_duplicates(
     """True for every row of a key but the first in ``order`` (which must be unique)."""
     groups = repeated_keys(df, keys, order)
     joined = null_safe_join(df, groups, keys, "left")
-    later = F.col("_first").isNotNull() & (F.struct(*order) != F.col("_first"))
+    later = F.col("_first").isNotNull() & (_rank(order) != F.col("_first"))
     return joined.select(*df.columns, later.alias(name))
 
 

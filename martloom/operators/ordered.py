@@ -1,4 +1,4 @@
-"""Ordered operators without a single-task window: numbering, running totals, ranks, quantiles.
+"""Ordered operators without a single-task window: numbering, running totals, ranks.
 
 All rest on range blocks: rows are range-partitioned by the ordering, each row remembers its
 block, and the result is written once. Work inside a block is an ordinary window over that
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workspace import stage
@@ -86,45 +86,3 @@ def average_ranks(df: DataFrame, score: str, by: Sequence[str] = (), count: str
     ranked = running_total(df, count, [score], by)
     middle = F.col("running") - (F.col(count) - 1) / F.lit(2.0)
     return ranked.withColumn("avg_rank", middle.cast("double"))
-
-
-def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()
-) -> DataFrame:
-    """Exact interpolated quantiles per group, plus ``n``; nulls and NaN are left out.
-
-    Rows collapse to (group, value, count) before any ordering, so repeated values cost nothing
-    and a group's values are spread over as many blocks as they need.
-    """
-    by = list(by)
-    v = F.col(value).cast("double")
-    counts = (
-        df.select(*by, v.alias("_v"))
-        .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .groupBy(*by, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    placed = running_total(counts, "_n", ["_v"], by)
-    first, last = F.col("running") - F.col("_n"), F.col("running") - 1
-
-    def value_at(position: Column) -> Column:
-        return F.max(F.when(position.between(first, last), F.col("_v")))
-
-    parts = [F.max("total").alias("n")]
-    for name, p in probs.items():
-        spot = F.lit(float(p)) * (F.col("total") - 1)
-        parts += [
-            value_at(F.floor(spot)).alias(f"_{name}_lo"),
-            value_at(F.ceil(spot)).alias(f"_{name}_hi"),
-        ]
-    picked = placed.groupBy(*by).agg(*parts)
-    out = []
-    for name, p in probs.items():
-        spot = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        out.append((lo + (hi - lo) * (spot - F.floor(spot))).alias(name))
-    return picked.select(*by, "n", *out)
-
-
-def group_median(df: DataFrame, value: str, by: Sequence[str], name: str = "median") -> DataFrame:
-    return exact_quantiles(df, value, {name: 0.5}, by).drop("n")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
-from .ordered import group_median
+from .selection import group_median
 
 # Feature columns and the columns known only after the next season.
 FEATURES = [

@@ -120,6 +120,14 @@ def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return parsed.agg(*hits).select(F.inline(rows))
 
 
+def error_type_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The distribution of ``error_distribution`` without building error records: rules counted in
+    one aggregate, and the few counts summed by type."""
+    counts = rule_counts(df, rules).filter("broken_rows > 0")
+    by_type = counts.groupBy("error_type").agg(F.sum("broken_rows").alias("error_count"))
+    return by_type.orderBy(F.desc("error_count"), "error_type")
+
+
 def constraint_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """Rows violating each named condition; NULL does not violate, as in a SQL CHECK."""
     counts = [F.count_if(~cond).alias(name) for name, cond in checks.items()]

@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .ordered import exact_quantiles, null_safe_join
+from ..workspace import stage
+from .ordered import null_safe_join
 from .profile import unpivot_row
+from .selection import exact_quantiles
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -76,8 +78,10 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 def boxplot_stats(df: DataFrame, by: str, value: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends and number of points beyond them, per group."""
     v = F.col(value).cast("double")
-    rows = df.select(by, v.alias("_v")).filter("_v is not null")
-    quartiles = exact_quantiles(rows, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
+    rows = stage(df.select(by, v.alias("_v")).filter("_v is not null"), "values")
+    quartiles = exact_quantiles(
+        rows, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], stored=True
+    )
     counts = rows.groupBy(by, "_v").agg(F.count(F.lit(1)).alias("_n"))
     joined = null_safe_join(counts, quartiles, [by])
     span = F.lit(reach) * (F.col("q3") - F.col("q1"))

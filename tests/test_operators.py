@@ -8,6 +8,7 @@ from martloom.operators import evaluate as E
 from martloom.operators import lookup as L
 from martloom.operators import merge as M
 from martloom.operators import ordered as O
+from martloom.operators import selection as Sel
 from martloom.operators import profile as R
 from martloom.operators import stats as S
 
@@ -40,7 +41,7 @@ def brute(df):
 
 def test_exact_quantiles(hot):
     got = {
-        r["g"]: r for r in O.exact_quantiles(hot, "v", {"q1": 0.25, "med": 0.5, "p9": 0.9}, ["g"]).collect()
+        r["g"]: r for r in Sel.exact_quantiles(hot, "v", {"q1": 0.25, "med": 0.5, "p9": 0.9}, ["g"]).collect()
     }
     for g, part in brute(hot).groupby("g", dropna=False):
         key = None if pd.isna(g) else g

@@ -100,11 +100,13 @@ def select_positions(
 ) -> DataFrame:
     """The values at ``spots`` (from 0, expressions of ``_total``) of each group in ascending order.
 
-    ``rows`` holds the group and ``_v``, a double without null and NaN, and is read once per pass. One
-    row per group and spot: group, ``_target`` (the spot's number), ``_total`` and ``_value``.
+    ``rows`` holds the group and ``_v``, a double without null and NaN, and is read once per pass; a table
+    of at most ``direct`` rows is its own bin. One row per group and spot: group, ``_target`` (the spot's number), ``_total`` and ``_value``.
     """
     by, targets = list(by), len(spots)
-    bins = _binned(rows.withColumn("_part", _magnitude(F.col("_v"))), [*by, "_part"])
+    small = rows.limit(direct + 1).count() <= direct
+    part = F.col("_v") if small else _magnitude(F.col("_v"))
+    bins = _binned(rows.withColumn("_part", part), [*by, "_part"])
     group = Window.partitionBy(*by)
     total = bins.withColumn("_total", F.sum("_n").over(group))
     wanted = F.array(
@@ -115,7 +117,10 @@ def select_positions(
     met = total.select("*", F.inline(wanted))
     at = F.col("_spot") - F.col("_before")
     here = met.filter((at >= 0) & (at < F.col("_n")))
-    state = stage(here.select(*by, "_target", at.alias("_spot"), "_total", "_n", "_lo", "_hi"), "bins")
+    state = here.select(*by, "_target", at.alias("_spot"), "_total", "_n", "_lo", "_hi")
+    if small:
+        return state.select(*by, "_target", "_total", F.col("_lo").alias("_value"))
+    state = stage(state, "bins")
     found = F.col("_lo") == F.col("_hi")
     while True:
         largest = state.filter(~found).agg(F.max("_n")).first()[0]

@@ -7,5 +7,6 @@ from . import (  # noqa: F401
     source_queries,
     star_queries,
     study_queries,
+    moment_queries,
 )
 from .registry import REGISTRY  # noqa: F401

@@ -94,12 +94,19 @@ def boxplot_stats(df: DataFrame, by: str, value: str, reach: float = 1.5) -> Dat
     )
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson's r over the rows where both are present; NULL where one of them doesn't vary."""
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations of all column pairs in long form, both directions, from one pass.
     Each pair uses the rows where both values are present."""
     pairs = list(combinations(columns, 2))
     x = {c: F.col(c).cast("double") for c in columns}
-    row = df.agg(*[F.corr(x[a], x[b]).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[correlation(x[a], x[b]).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
         cells += [(a, b, F.col(f"c{i}")), (b, a, F.col(f"c{i}"))]
@@ -117,7 +124,7 @@ def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     for i, (a, b) in enumerate(pairs):
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
         aggs += [
-            F.corr(x, y).alias(f"r{i}"),
+            correlation(x, y).alias(f"r{i}"),
             F.count_if(x.isNotNull() & y.isNotNull()).alias(f"n{i}"),
         ]
     structs = []

@@ -135,11 +135,15 @@ WITH d AS (
     count(*) FILTER (NOT good AND rate > cutoff) AS caught
   FROM r JOIN m USING (doc_id), (SELECT unnest(range({len(quality_rules.GRID)})) AS i,
     unnest({list(quality_rules.GRID)}::DOUBLE[]) AS cutoff) GROUP BY ALL
+), s AS (
+  SELECT count(DISTINCT stratum) AS s FROM k
+), h AS (
+  SELECT *, coalesce(list_max([j FOR j IN range(1, 5) IF n * ln(1 - 0.04::DOUBLE / j) <= ln(0.05::DOUBLE / (j * s))]), 0) AS m
+  FROM k, s
 ), t AS (
-  SELECT *, CASE WHEN k >= n * 0.01::DOUBLE THEN false ELSE list_sum([exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
-    + j * ln(0.01::DOUBLE) + (n - j) * ln(0.99::DOUBLE)) FOR j IN range(0, k + 1)])
-    <= 0.05::DOUBLE / (4 * (SELECT count(DISTINCT stratum) FROM k)) END AS refuted
-  FROM k
+  SELECT *, CASE WHEN k >= n * p THEN false ELSE list_sum([exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+    + j * ln(p) + (n - j) * ln(1 - p)) FOR j IN range(0, k + 1)]) <= 0.05::DOUBLE / (m * s) END AS refuted
+  FROM (SELECT *, 0.04::DOUBLE / m AS p FROM h WHERE list_position(['symbol', 'capital', 'line', 'repeat'], rule) <= m)
 ), b AS (
   SELECT stratum, rule, cutoff FROM t
   WHERE i < coalesce((SELECT min(i) FROM t u WHERE u.stratum = t.stratum AND u.rule = t.rule AND NOT u.refuted), 99)

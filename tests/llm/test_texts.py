@@ -228,26 +228,42 @@ def test_cutoffs_equal_brute_force(spark):
     rows = []
     for i in range(6000):
         good = bool(rng.random() < 0.8)
-        stratum = "a" if i % 3 else ("b" if i % 2 else "few" if i < 60 else "a")
+        stratum = "a" if i % 3 else ("b" if i % 2 else "few" if i < 60 else "some" if i < 1500 else "a")
         rows.append((stratum, good, tuple(float(x) for x in rng.beta(*((0.3, 40) if good else (2, 3)), len(rates)))))
     schema = "stratum string, good boolean, f struct<" + ",".join(f"{r}:double" for r in rates) + ">"
     found = {r.stratum: r.cutoffs for r in quality_rules.risk_cutoffs(spark.createDataFrame(rows, schema), "stratum", "good", "f").collect()}
     strata = {r[0] for r in rows}
-    limit = math.log(0.05 / (len(rates) * len(strata)))
+    tested = {}
     for s in strata:
+        n = sum(r[0] == s and r[1] for r in rows)
+        limit = lambda m: math.log(0.05 / (m * len(strata)))
+        m = tested[s] = max((m for m in range(1, 5) if n * math.log(1 - 0.04 / m) <= limit(m)), default=0)
         for j, rate in enumerate(rates):
+            if j >= m:
+                assert rate not in found.get(s, {})
+                continue
             good = [r[2][j] for r in rows if r[0] == s and r[1]]
             bad = [r[2][j] for r in rows if r[0] == s and not r[1]]
             best = (0, None)
             for c in quality_rules.GRID:
                 k = sum(x > c for x in good)
-                if log_cdf(k, len(good), 0.04 / len(rates)) > limit:
+                if log_cdf(k, len(good), 0.04 / m) > limit(m):
                     break
                 gain = sum(x > c for x in bad) - k
                 if gain > best[0]:
                     best = (gain, c)
             assert found.get(s, {}).get(rate) == best[1]
-    assert "few" not in found and found["a"]
+    assert "few" not in found and len(found["a"]) == 4
+    assert tested["few"] == 0 < tested["some"] < tested["b"] == 4 and found["some"]
+
+
+def test_learned_cutoffs_reject_and_keep_their_promise(spark):
+    """On given tables some cutoffs are certified, and of good documents few go by them."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    found = quality_rules.report(docs, labels).where("NOT base_failed").join(labels.select("doc_id", "quality"), "doc_id", "left")
+    learned = {(r.quality, r.kept): r["count"] for r in found.groupBy("quality", "kept").count().collect()}
+    good, lost, caught = learned[1, True], learned.get((1, False), 0), learned.get((0, False), 0)
+    assert caught > 10 and lost <= 0.04 * (good + lost)
 
 
 def test_quality_keeps_columns_and_empty_tables(spark):

@@ -40,6 +40,17 @@ BOUNDS = R.Bounds(
     season_factor=(0.0, 1.5),
 )
 
+# Discount and tax of the rows in which ``landing`` plants a defect, by what it spoils.
+DEFECTS = {
+    "date": (0.1, 0.08),
+    "region": (0.01, 0.0),
+    "product_category": (0.02, 0.0),
+    "customer_type": (0.03, 0.0),
+    "units": (0.0, 0.08),
+    "no_units": (0.0, 0.0),
+    "unit_price": (0.1, 0.0),
+}
+
 STAR_KEY = ["date", "region", "sku", "channel", "customer_type"]
 DUPLICATE_KEY = ["date", "region", "product_category", "sku", "channel", "customer_type"]
 
@@ -56,7 +67,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """Weekly sales rows with the asked columns. Money is kept in whole cents beside the doubles
-    so that sums are exact."""
+    so that sums are exact. What one table alone decides is worked out before the joins, so that they
+    move a date, a flag and the number of a defect in place of times, texts and rates."""
     need = set(columns)
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     price = F.round(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("bigint")
@@ -78,9 +90,7 @@ def sales(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
         "sku": F.concat(
             F.upper(F.substring("p_type", 1, 3)), F.lit("-"), F.col("l_partkey").cast("string")
         ),
-        "channel": F.when(
-            F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "pro_dealer"
-        ).otherwise("big_box_diy"),
+        "channel": F.when(F.col("_pro"), "pro_dealer").otherwise("big_box_diy"),
         "customer_type": F.col("c_mktsegment"),
         "units": F.col("l_quantity").cast("int"),
         "price_cents": price,
@@ -89,15 +99,23 @@ def sales(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
         "revenue": cents.cast("double") / 100,
         "discount": F.col("l_discount"),
         "tax": F.col("l_tax"),
+        "defect": F.col("_defect"),
         "brand": F.col("p_brand"),
         "returned": F.when(F.col("l_returnflag") == "R", 1).otherwise(0),
         **{c: F.col(c) for c in _MACRO},
     }
     out = table(spark, sf, "lineitem").drop("l_linestatus")
+    out = out.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    if "defect" in need:
+        defect = F.lit(None).cast("int")
+        for i, (discount, tax) in enumerate(DEFECTS.values()):
+            defect = F.when((F.col("l_discount") == discount) & (F.col("l_tax") == tax), i).otherwise(defect)
+        out = out.withColumn("_defect", defect)
     # Buyers meet orders before lineitem does, so the largest table is shuffled once for the order
     # side and not again by buyer.
     if need & {*_ORDER, *_CUSTOMER, *_REGION}:
-        orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+        urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("_pro")
+        orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", urgent)
         if need & {*_CUSTOMER, *_REGION}:
             buyers = table(spark, sf, "customer")
             if need & set(_REGION):
@@ -159,7 +177,7 @@ def landing(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     base = set(columns) - {"units", "unit_price", "revenue"}
     base |= {"brand"} if "sku" in need else set()
     planted = {"date", "units", "unit_price", "region", "product_category", "customer_type"}
-    base |= {"discount", "tax"} if need & planted else set()
+    base |= {"defect"} if need & planted else set()
     base |= {"units"} if "units" in need else set()
     base |= {"price_cents"} if "unit_price" in need else set()
     base |= {"revenue_cents"} if "revenue" in need else set()
@@ -169,27 +187,27 @@ def landing(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
         whole = F.expr(f"{c} div 100").cast("string")
         return F.concat(whole, F.lit("."), F.lpad((F.col(c) % 100).cast("string"), 2, "0"))
 
-    def combo(d: float, t: float):
-        return (F.col("discount") == F.lit(d)) & (F.col("tax") == F.lit(t))
+    def has(defect: str):
+        return F.col("defect") == list(DEFECTS).index(defect)
 
     exprs = {
         "date": lambda: F.when(
-            combo(0.1, 0.08), F.date_format("date", "yyyy/MM/dd")
+            has("date"), F.date_format("date", "yyyy/MM/dd")
         ).otherwise(F.date_format("date", "yyyy-MM-dd")),
-        "region": lambda: F.when(combo(0.01, 0.0), "ATLANTIS").otherwise(F.col("region")),
-        "product_category": lambda: F.when(combo(0.02, 0.0), "OTHER").otherwise(
+        "region": lambda: F.when(has("region"), "ATLANTIS").otherwise(F.col("region")),
+        "product_category": lambda: F.when(has("product_category"), "OTHER").otherwise(
             F.col("product_category")
         ),
-        "customer_type": lambda: F.when(combo(0.03, 0.0), "PIRATES").otherwise(
+        "customer_type": lambda: F.when(has("customer_type"), "PIRATES").otherwise(
             F.col("customer_type")
         ),
         "sku": lambda: F.when(
             F.col("brand") == "Brand#13", F.replace(F.col("sku"), F.lit("-"), F.lit(""))
         ).otherwise(F.col("sku")),
-        "units": lambda: F.when(combo(0.0, 0.08), "twelve")
-        .when(combo(0.0, 0.0), F.lit(None))
+        "units": lambda: F.when(has("units"), "twelve")
+        .when(has("no_units"), F.lit(None))
         .otherwise(F.col("units").cast("string")),
-        "unit_price": lambda: F.when(combo(0.1, 0.0), "free").otherwise(money("price_cents")),
+        "unit_price": lambda: F.when(has("unit_price"), "free").otherwise(money("price_cents")),
         "revenue": lambda: money("revenue_cents"),
         "housing_starts_index": lambda: F.col("housing_starts_index")
         .cast("decimal(6,2)")

@@ -101,6 +101,7 @@ def sales(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
         "tax": F.col("l_tax"),
         "defect": F.col("_defect"),
         "brand": F.col("p_brand"),
+        "joined_sku": F.col("_joined"),
         "returned": F.when(F.col("l_returnflag") == "R", 1).otherwise(0),
         **{c: F.col(c) for c in _MACRO},
     }
@@ -111,8 +112,11 @@ def sales(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
         for i, (discount, tax) in enumerate(DEFECTS.values()):
             defect = F.when((F.col("l_discount") == discount) & (F.col("l_tax") == tax), i).otherwise(defect)
         out = out.withColumn("_defect", defect)
-    # Buyers meet orders before lineitem does, so the largest table is shuffled once for the order
-    # side and not again by buyer.
+    # The largest table meets parts first, while its rows are narrow; buyers meet orders before it does, so it is
+    # shuffled once for the order side and not again by buyer, and their texts are moved with orders alone.
+    if need & {*_PART, "brand", "joined_sku"}:
+        part = table(spark, sf, "part").withColumn("_joined", F.col("p_brand") == "Brand#13")
+        out = out.join(part, F.col("l_partkey") == F.col("p_partkey"))
     if need & {*_ORDER, *_CUSTOMER, *_REGION}:
         urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("_pro")
         orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", urgent)
@@ -125,8 +129,6 @@ def sales(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
                 buyers = buyers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
             orders = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
         out = out.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    if need & {*_PART, "brand"}:
-        out = out.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     if need & set(_MACRO):
         weeks = macro(spark, sf).drop("season_factor")
         out = out.join(weeks, day == F.col("week"), "left")
@@ -175,7 +177,7 @@ def landing(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     columns = columns or ("row_key", *LANDING_COLUMNS)
     need = set(columns)
     base = set(columns) - {"units", "unit_price", "revenue"}
-    base |= {"brand"} if "sku" in need else set()
+    base |= {"joined_sku"} if "sku" in need else set()
     planted = {"date", "units", "unit_price", "region", "product_category", "customer_type"}
     base |= {"defect"} if need & planted else set()
     base |= {"units"} if "units" in need else set()
@@ -202,7 +204,7 @@ def landing(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
             F.col("customer_type")
         ),
         "sku": lambda: F.when(
-            F.col("brand") == "Brand#13", F.replace(F.col("sku"), F.lit("-"), F.lit(""))
+            F.col("joined_sku"), F.replace(F.col("sku"), F.lit("-"), F.lit(""))
         ).otherwise(F.col("sku")),
         "units": lambda: F.when(has("units"), "twelve")
         .when(has("no_units"), F.lit(None))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import confidence, outcome, predicted_class, verdict
+from ..workspace import stage
 from .ordered import BLOCK, average_ranks, null_safe_join, range_blocks
 
 
@@ -87,6 +88,10 @@ def brier_improvement(df: DataFrame, score: str, baseline: str, label: str) -> D
 
 # -- bootstrap ---------------------------------------------------------------------------------
 
+# Distinct (score, label) of a block. All replicates are drawn for each, so blocks are cut by rows: by bytes
+# adaptive execution would leave this work to a task or two.
+CELLS_PER_BLOCK = 20_000
+
 
 def poisson_draws(n: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Poisson(n) quantiles of the uniforms ``u`` (one row per n), per distinct n."""
@@ -138,7 +143,9 @@ def bootstrap_auc(
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_seed", F.xxhash64("_score", "_label"))
     )
-    blocks = range_blocks(cells, ["_score"])
+    cells = stage(cells, "cells")
+    pieces = max(1, -(-cells.count() // CELLS_PER_BLOCK))
+    blocks = range_blocks(cells, ["_score"], pieces)
 
     def weigh(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["_score", "_label"])
@@ -169,7 +176,7 @@ def bootstrap_auc(
         return pd.concat(parts)
 
     schema = f"{BLOCK} int, replicate int, pos double, neg double, inside double"
-    weights = blocks.groupBy(BLOCK).applyInPandas(weigh, schema)
+    weights = blocks.repartition(pieces, BLOCK).groupBy(BLOCK).applyInPandas(weigh, schema)
     before = (
         Window.partitionBy("replicate")
         .orderBy(BLOCK)

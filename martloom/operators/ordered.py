@@ -20,14 +20,15 @@ from ..workspace import stage
 BLOCK = "_block"
 
 
-def range_blocks(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def range_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
     """Range-partition by ``order`` and keep the partition number as a column.
 
     Adaptive execution joins neighbouring ranges of a small table, so their number follows the
-    data. The table is written because the bounds come from a sample: two evaluations could cut
+    data's bytes; ``blocks`` fixes it where the work on a row is what counts. The table is written because the bounds come from a sample: two evaluations could cut
     differently, and offsets and rows must agree on the cut.
     """
-    ranged = df.repartitionByRange(*order).withColumn(BLOCK, F.spark_partition_id())
+    sizes = [] if blocks is None else [blocks]
+    ranged = df.repartitionByRange(*sizes, *order).withColumn(BLOCK, F.spark_partition_id())
     return stage(ranged, "blocks")
 
 

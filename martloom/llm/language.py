@@ -6,14 +6,14 @@ the script in training. Viterbi over a text's words, with a penalty for every sw
 labels spans; the language with the most letters in its spans is the text's, and its share of all
 letters the score.
 
-Counts come from at most about ``max_docs`` labelled documents per language (by a hash of the id);
-counting and summing are Spark's, and the model of ``2**BITS`` floats per language goes to the tasks as
+Counts come from at most about ``max_docs`` labelled documents per language (by a hash of the id), or from all of
+them; counting and summing are Spark's, and the model of ``2**BITS`` floats per language goes to the tasks as
 a broadcast of that size. Every text is labelled as a whole: words are scored in slices of bounded
 size, and Viterbi steps through the words of many texts side by side.
 
 ``keep`` also asks whether any learned language explains a text: of its letters, the share in words whose
 script a language uses and whose n-grams are as likely in it as those of its own texts, all but the least likely
-``RARE`` of their letters, must reach ``EXPLAINED``. Those cutoffs come from labelled documents too.
+``RARE`` of their letters, must reach ``EXPLAINED``. Those cutoffs come from every labelled document that may be used.
 
 Defined results: null text and text without a letter is ``und`` with score 0, and so is every text if
 nothing was learned; rows with a null language teach nothing; between equal languages the first in
@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import release_memory
+from .common import frugal, release_memory
 from .subwords import Slice, slices
 
 ORDERS = (2, 3)
@@ -106,10 +106,11 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"lang": lang, "bucket": -1 - ids, "n": scripts[ids]})
 
 
-def fit(documents: DataFrame, usable: Column, max_docs: int = 4000, explain: bool = True) -> Model:
+def fit(documents: DataFrame, usable: Column, max_docs: int | None = 4000, explain: bool = True) -> Model:
     """A model from documents with a language for which ``usable`` (of a column ``doc_id``) holds.
 
-    ``explain``: with the cutoffs for ``keep``, from about a quarter as many documents.
+    ``max_docs``: counts from about so many documents per language, None for all of them. ``explain``: with the
+    cutoffs for ``keep``, which come from all of them.
     """
     rows = documents.select(
         F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
@@ -119,11 +120,13 @@ def fit(documents: DataFrame, usable: Column, max_docs: int = 4000, explain: boo
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros((len(SCRIPTS) + 1, 0), bool))
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 20))
 
-    def sample(most: int) -> DataFrame:
+    def sample(most: int | None) -> DataFrame:
+        if most is None:
+            return rows.select("lang", "text")
         limits = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int((1 << 20) * min(1.0, most / n)))])
         return rows.where(draw < limits[F.col("lang")]).select("lang", "text")
 
-    counts = sample(max_docs).mapInPandas(_count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = sample(max_docs).mapInPandas(frugal(_count), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     held = counts.toPandas()
     languages = sorted(sizes)
     place = {k: i for i, k in enumerate(languages)}
@@ -137,29 +140,29 @@ def fit(documents: DataFrame, usable: Column, max_docs: int = 4000, explain: boo
     weights = np.log(table / table.sum(0))
     model = Model(languages, weights.astype(np.float32), used >= 0.01 * np.maximum(used.sum(0), 1))
     if explain:
-        model.cutoffs = _cutoffs(sample(-(-max_docs // 4)), model)
+        model.cutoffs = _cutoffs(rows.select("lang", "text"), model)
     return model
 
 
-def _cutoffs(sample: DataFrame, model: Model) -> np.ndarray:
+def _cutoffs(rows: DataFrame, model: Model) -> np.ndarray:
     """Per language the likelihood below which the words with ``RARE`` of its texts' letters lie."""
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for lang, rows in batch.groupby("lang"):
+            for lang, texts in batch.groupby("lang")["text"]:
                 at = shared.value.languages.index(lang)
-                for part in slices(list(rows["text"])):
+                for part in slices(list(texts)):
                     if len(part.start):
                         step = np.floor(STEPS * likelihoods(part, gram_scores(part, shared.value))[:, at]).astype(np.int64)
                         steps, place = np.unique(step, return_inverse=True)
                         yield pd.DataFrame({"lang": lang, "step": steps, "n": np.bincount(place, part.end - part.start).astype(np.int64)})
 
-    found = sample.mapInPandas(run, "lang string, step long, n long").groupBy("lang", "step").agg(F.sum("n").alias("n")).toPandas()
+    found = rows.mapInPandas(frugal(run), "lang string, step long, n long").groupBy("lang", "step").agg(F.sum("n").alias("n")).toPandas()
     out = np.full(len(model.languages), -np.inf)
-    for lang, rows in found.sort_values("step").groupby("lang"):
-        below = rows["n"].cumsum().to_numpy()
-        out[model.languages.index(lang)] = rows["step"].to_numpy()[np.searchsorted(below, RARE * below[-1], "right")] / STEPS
+    for lang, steps in found.sort_values("step").groupby("lang"):
+        below = steps["n"].cumsum().to_numpy()
+        out[model.languages.index(lang)] = steps["step"].to_numpy()[np.searchsorted(below, RARE * below[-1], "right")] / STEPS
     return out
 
 

@@ -1,6 +1,6 @@
 """Exact similarity join of shingle sets by parity sketches.
 
-Which texts are linked by a Jaccard similarity of ``percent`` or more is found in four steps:
+Which texts are linked by a Jaccard similarity of ``percent`` or more is found in five steps:
 
 1. Each text becomes a set of shingles and signs (``signatures``) with the parts of its parity
    sketch per size band, by the pigeonhole rule of which two similar sets share at least one.
@@ -11,11 +11,13 @@ Which texts are linked by a Jaccard similarity of ``percent`` or more is found i
 2. Texts that share a signature are joined into candidate groups (connected components of stars, not
    pairs). A signature that many texts of a batch share leaves the batch once, so a hot one meets
    few rows.
-3. Groups are cut into blocks of bounded size, by size band and hash; each pair of blocks whose
+3. Groups grow faster than the input, since chance joins texts that have little in common, so they are narrowed before
+   whole sets are moved. They are cut into blocks of bounded size, by size band and hash; each pair of blocks whose
    bands can hold similar sets is one task's work. There a parity sketch of each set, wide enough
-   for its size, rules out pairs by Hamming distance, and the rest are verified on the whole sets. Only
-   links that join two texts not yet joined within the task are returned.
-4. Components of the verified links.
+   for its size, rules out pairs by Hamming distance. Components of the pairs that are left are the narrower groups.
+4. Those are cut into blocks likewise, and pairs that sketches don't rule out are verified on the whole sets, about
+   ``SENT`` sets at a time. Only links that join two texts not yet joined within the task are returned.
+5. Components of the verified links.
 
 Equal sets are found by a hash of 128 bits and represented by their smallest id in steps 2 and 3.
 
@@ -28,14 +30,14 @@ no rows; further columns are ignored, or kept by ``keep_one``.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import stage
+from ..workspace import discard, stage
 from .common import beside, free_name, frugal, partitions_for, small_batches
 from .components import ROWS, components, narrow
 from .shingles import groups, mix, shingle_sets
@@ -45,6 +47,9 @@ GROUP_CHARS = 4 << 20  # texts signed together in a task
 KEY_BYTES = 24 << 20  # bytes of text whose signatures meet in one task
 SAMPLE_DOCS, FREQUENT, MOST_FREQUENT = 5000, 3, 200_000
 BLOCK_DOCS, BLOCK_ELEMENTS = 512, 4 << 20
+NEAR_DOCS, NEAR_ELEMENTS = 8192, 1 << 40  # of blocks of sketches, whose size is bounded by their width
+MOST_WORDS = 64  # of a sketch, 64 bits each
+SENT = 500_000  # rows that say where sets go, sent to all tasks at once
 RARE = 0.35  # share of a band's size that must remain to leave frequent shingles out
 SPARE = 0.25  # spare parts per part
 
@@ -147,8 +152,27 @@ def _stars(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[begin], owners[begin], edges
 
 
+def sketch_words(percent: int, sizes: np.ndarray) -> np.ndarray:
+    """Width of the sketches of sets, a power of two by their band."""
+    first = bands(percent, int(sizes.max(initial=1)).bit_length() + 1)
+    last = first[np.searchsorted(first, sizes, "right") - 1] * 100 // percent
+    least = np.maximum(1, most_apart(percent, last, last) // 8)
+    return np.minimum(MOST_WORDS, 1 << np.ceil(np.log2(least)).astype(np.int64))
+
+
+def parities(elements: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Parity sketches, end to end, of sets that lie end to end: every element flips one bit. Of a power of two of
+    words, a sketch's halves added up are the sketch of half the width."""
+    words = sketch_words(percent, sizes)
+    begin = np.repeat(np.cumsum(words) - words, sizes)
+    bit = (mix(elements) >> np.uint64(32)).astype(np.int64) & (64 * np.repeat(words, sizes) - 1)
+    out = np.zeros(int(words.sum()), np.uint64)
+    np.bitwise_xor.at(out, begin + (bit >> 6), ONE << (bit & 63).astype(np.uint64))
+    return out
+
+
 # Rows between the two steps: kinds and what their packed arrays hold.
-SIGNED, EQUAL, EDGE, COPY, DOC, NAMELESS = range(6)
+SIGNED, EQUAL, EDGE, COPY, DOC, NAMELESS, SKETCH = range(7)
 PACKED = "bucket int, kind int, keys binary, checks binary, owners binary"
 
 
@@ -197,6 +221,7 @@ def _signer(k: int, percent: int, buckets: int, frequent):
             kept[reps] = True
             elements = elements[np.repeat(kept, sizes)]
             reps = np.flatnonzero(kept)
+        yield _pack(at, SKETCH, sizes[reps], parities(elements, sizes[reps], percent), number[reps])
         rare = np.ones(len(elements), bool)
         if len(common):
             rare = common[np.minimum(np.searchsorted(common, elements), len(common) - 1)] != elements
@@ -231,17 +256,22 @@ def gathered(batches: Iterator[tuple], limit: int) -> Iterator[tuple[list, list[
         yield ids, texts
 
 
-FOUND = "kind int, a long, b long"
+FOUND = "kind int, a long, b long, sketch binary"
 
 
-def _meet(frame: pd.DataFrame) -> pd.DataFrame:
-    """What one bucket's signatures link: rows of kind EDGE, COPY (smallest, other), DOC (id, size)."""
+def _meeter(percent: int):
+    return lambda frame: _meet(frame, percent)
+
+
+def _meet(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """What one bucket's signatures link: rows of kind EDGE, COPY (smallest, other), DOC (id, size), SKETCH (id, size,
+    sketch)."""
 
     def column(kind: int, name: str, dtype) -> np.ndarray:
         return np.frombuffer(b"".join(frame.loc[frame["kind"] == kind, name]), dtype)
 
     def rows(kind: int, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"kind": kind, "a": pd.array(a, "Int64"), "b": pd.array(b, "Int64")})
+        return pd.DataFrame({"kind": kind, "a": pd.array(a, "Int64"), "b": pd.array(b, "Int64"), "sketch": None})
 
     sizes, ids = column(DOC, "keys", np.uint64).astype(np.int64), column(DOC, "owners", np.int64)
     nameless = column(NAMELESS, "keys", np.uint64).astype(np.int64)
@@ -254,10 +284,16 @@ def _meet(frame: pd.DataFrame) -> pd.DataFrame:
     local = np.stack([column(COPY, "keys", np.uint64).astype(np.int64), column(COPY, "owners", np.int64)], 1)
     equal = np.unique(np.concatenate([equal, local]), axis=0)
     nothing = pd.array([pd.NA] * len(nameless), "Int64")
+    made = column(SKETCH, "keys", np.uint64).astype(np.int64)
+    last = np.cumsum(8 * sketch_words(percent, made)).tolist()
+    packed = b"".join(frame.loc[frame["kind"] == SKETCH, "checks"])
+    sketched = rows(SKETCH, column(SKETCH, "owners", np.int64), made)
+    sketched["sketch"] = [packed[a:b] for a, b in zip([0, *last], last)]
     return pd.concat(
         [
             rows(DOC, ids, sizes),
-            pd.DataFrame({"kind": DOC, "a": nothing, "b": pd.array(nameless, "Int64")}),
+            pd.DataFrame({"kind": DOC, "a": nothing, "b": pd.array(nameless, "Int64"), "sketch": None}),
+            sketched,
             rows(EDGE, edges[:, 0], edges[:, 1]),
             rows(COPY, equal[:, 0], equal[:, 1]),
         ],
@@ -301,26 +337,63 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, cross
     ids, side, sets = ids[order], side[order], [sets[i] for i in order]
     n = np.array([len(s) for s in sets], np.int64)
     words = int(min(64, max(1, most_apart(percent, n[-1], n[-1]) // 8)))
-    sketch = sketches(sets, words)
+
+    def similar(i: int, j: int) -> bool:
+        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        return 100 * both >= percent * (n[i] + n[j] - both)
+
+    return _joined(ids, n, sketches(sets, words), side, cross, percent, similar)
+
+
+def _joined(
+    ids: np.ndarray, n: np.ndarray, sketch: np.ndarray, side: np.ndarray, cross: bool, percent: int, similar: Callable[[int, int], bool]
+) -> list[tuple[int, int]]:
+    """Pairs, of sets in the order of their sizes ``n``, that sketches don't rule out and ``similar`` holds for; of
+    these the ones that join what earlier ones did not."""
     joined = np.arange(len(ids))
+    words = np.ascontiguousarray(sketch.T)
     out = []
     for i in range(len(ids) - 1):
         end = int(np.searchsorted(n, n[i] * 100 // percent, "right"))
         rest = slice(i + 1, end)
-        apart = np.bitwise_count(sketch[rest] ^ sketch[i]).sum(1, dtype=np.int64)
+        apart = np.bitwise_count(words[:, rest] ^ words[:, i : i + 1]).sum(0, dtype=np.int64)
         near = (apart <= most_apart(percent, n[i], n[rest])) & (joined[rest] != joined[i])
         if cross:
             near &= side[rest] != side[i]
         for j in np.flatnonzero(near) + i + 1:
-            if joined[j] == joined[i]:
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= percent * (n[i] + n[j] - both):
+            if joined[j] != joined[i] and similar(i, j):
                 out.append((int(ids[i]), int(ids[j])))
                 joined[joined == joined[j]] = joined[i]
     return out
 
 
+def close_links(
+    ids: np.ndarray, sizes: np.ndarray, packed: list[bytes], side: np.ndarray, cross: bool, percent: int
+) -> list[tuple[int, int]]:
+    """As ``block_links``, of all pairs that their sketches don't rule out."""
+    order = np.lexsort((ids, sizes))
+    words = int(min(len(x) for x in packed)) // 8
+    sketch = np.empty((len(ids), words), np.uint64)
+    for at, i in enumerate(order):
+        own = np.frombuffer(packed[i], np.uint64)
+        while len(own) > words:
+            own = own[: len(own) // 2] ^ own[len(own) // 2 :]
+        sketch[at] = own
+    return _joined(ids[order], sizes[order], sketch, side[order], cross, percent, lambda i, j: True)
+
+
+def _narrower(percent: int):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, rows in frame.groupby("part", sort=False):
+            if len(rows) > 1:
+                ids, sizes, side = rows["id"].to_numpy(np.int64), rows["size"].to_numpy(np.int64), rows["side"].to_numpy()
+                out += close_links(ids, sizes, list(rows["sketch"]), side, bool(rows["crossed"].iloc[0]), percent)
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def _verifier(percent: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -348,8 +421,8 @@ def _setter(k: int):
     return frugal(run)
 
 
-def _blocks(live: DataFrame, percent: int) -> DataFrame:
-    """Per candidate document the units of work it goes to: (unit, part, side, crossed).
+def _blocks(live: DataFrame, most_docs: int, most_elements: int, *carried: str) -> DataFrame:
+    """Per candidate document the units of work it goes to: (unit, part, side, crossed), with ``carried`` columns.
 
     ``live``: id, size, band and group. A group of one block's size is one part, and such groups
     share units; a larger group is cut by band and hash into blocks, and every pair of blocks of
@@ -357,11 +430,12 @@ def _blocks(live: DataFrame, percent: int) -> DataFrame:
     """
     sizes = live.groupBy("grp").agg(F.count(F.lit(1)).alias("docs"), F.sum("size").alias("elements"))
     sizes = sizes.where("docs > 1")
-    small = (F.col("docs") <= BLOCK_DOCS) & (F.col("elements") <= BLOCK_ELEMENTS)
+    small = (F.col("docs") <= most_docs) & (F.col("elements") <= most_elements)
     totals = sizes.where(small).agg(F.sum("docs"), F.sum("elements")).first()
-    units = max(partitions_for(totals[0] or 0, BLOCK_DOCS // 2), partitions_for(totals[1] or 0, BLOCK_ELEMENTS))
+    units = max(partitions_for(totals[0] or 0, most_docs // 2), partitions_for(totals[1] or 0, most_elements))
     pooled = live.join(sizes.where(small).select("grp"), "grp").select(
         "id",
+        *carried,
         F.concat(F.lit("p"), F.pmod(F.xxhash64("grp"), F.lit(units)).cast("string")).alias("unit"),
         F.col("grp").cast("string").alias("part"),
         F.lit(0).alias("side"),
@@ -370,7 +444,7 @@ def _blocks(live: DataFrame, percent: int) -> DataFrame:
     large = live.join(sizes.where(~small).select("grp"), "grp")
     counts = large.groupBy("grp", "band").agg(
         F.greatest(
-            F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("size") / BLOCK_ELEMENTS)
+            F.ceil(F.count(F.lit(1)) / most_docs), F.ceil(F.sum("size") / most_elements)
         ).cast("int").alias("blocks")
     )
     own, up, down = (counts.select("grp", (F.col("band") + s).alias("band"), F.col("blocks").alias(c)) for s, c in ((0, "own"), (-1, "up"), (1, "down")))
@@ -389,11 +463,35 @@ def _blocks(live: DataFrame, percent: int) -> DataFrame:
     )
     above = F.transform(to("up"), lambda j: pair(j, band, F.lit(0), F.lit(True), name(band, F.col("mine"), band + 1, j)))
     below = F.transform(to("down"), lambda j: pair(j, band, F.lit(1), F.lit(True), name(band - 1, j, band, F.col("mine"))))
-    spread = placed.withColumn("mine", mine.cast("int")).select("id", F.explode(F.concat(within, above, below)).alias("x"))
-    crossed = spread.select("id", "x.unit", F.col("x.unit").alias("part"), "x.side", "x.crossed")
+    spread = placed.withColumn("mine", mine.cast("int")).select("id", *carried, F.explode(F.concat(within, above, below)).alias("x"))
+    crossed = spread.select("id", *carried, "x.unit", F.col("x.unit").alias("part"), "x.side", "x.crossed")
     return pooled.unionByName(crossed)
 
 
+def _members(groups: DataFrame) -> DataFrame:
+    """Id and group of every node of ``components``."""
+    return groups.select(F.col("node").alias("id"), F.col("component").alias("grp")).unionByName(
+        groups.select(F.col("component").alias("id"), F.col("component").alias("grp")).distinct()
+    )
+
+
+def _verified(rows: DataFrame, units: DataFrame, k: int, percent: int) -> DataFrame:
+    """The links of all units, from the whole sets. Texts are never shuffled: ``units`` are sent to all tasks, about ``SENT``
+    rows at a time, each a pass over the texts, whose sets are all that lies on disk."""
+    sent = units.count()
+    passes = partitions_for(sent, SENT)
+    links = None
+    for i in range(passes):
+        some = units if passes == 1 else units.where(F.pmod(F.xxhash64("unit"), F.lit(passes)) == i)
+        texts = rows.join(F.broadcast(some.select("id")), "id", "left_semi")
+        sets = texts.mapInPandas(_setter(k), "id long, elements binary").join(F.broadcast(some), "id")
+        found = sets.groupBy("unit").applyInPandas(_verifier(percent), "a long, b long")
+        with small_batches(rows.sparkSession):
+            found = stage(found.repartition(partitions_for(sent // passes, ROWS)), "linked")
+        links = found if links is None else links.unionByName(found)
+    return links
+
+
 def link(documents: DataFrame, k: int, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, ``n_shingles`` and ``component_id`` for every row of ``documents``, and the links of
     ``percent`` similarity that make the components."""
@@ -405,7 +503,7 @@ def link(documents: DataFrame, k: int, percent: int, doc_id: str = "doc_id", tex
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(size, KEY_BYTES))
     frequent = spark.sparkContext.broadcast(_frequent(rows, k))
     signed = rows.mapInPandas(_signer(k, percent, buckets, frequent), PACKED)
-    met = signed.groupBy("bucket").applyInPandas(_meet, FOUND)
+    met = signed.groupBy("bucket").applyInPandas(_meeter(percent), FOUND)
     with small_batches(spark):
         # Small tables are written by few tasks: their files cost more than their rows.
         found = stage(met.repartition(partitions_for(4 * size // 1000, ROWS)), "signed")
@@ -416,21 +514,19 @@ def link(documents: DataFrame, k: int, percent: int, doc_id: str = "doc_id", tex
     # Only copies in other batches than their smallest id's signed at all; those are left out here.
     again = stage(narrow(copies.select(F.col("b").alias("node")).distinct(), n_copies), "copies")
     candidates, n_live = components(pairs(EDGE), counts.get(EDGE, 0), "candidates")
-    members = candidates.select(F.col("node").alias("id"), F.col("component").alias("grp")).unionByName(
-        candidates.select(F.col("component").alias("id"), F.col("component").alias("grp")).distinct()
-    )
     edges = bands(percent, 40)
-    docs = found.where((F.col("kind") == DOC) & F.col("a").isNotNull()).groupBy(F.col("a").alias("id")).agg(F.max("b").alias("size"))
     band = F.size(F.filter(F.array(*[F.lit(int(x)) for x in edges]), lambda x: x <= F.col("size"))) - 1
+    docs = found.where(F.col("kind") == SKETCH).select(F.col("a").alias("id"), F.col("b").alias("size"), "sketch")
+    members = _members(candidates)
     signers = members.join(again, members["id"] == again["node"], "left_anti").join(docs, "id").withColumn("band", band)
     live = stage(narrow(signers, 2 * n_live), "live")
-    units = stage(narrow(_blocks(live, percent), 8 * n_live), "units")
-    sets = rows.join(beside(units), "id").mapInPandas(
-        _setter(k), "id long, unit string, part string, side int, crossed boolean, elements binary"
-    )
-    links = sets.groupBy("unit").applyInPandas(_verifier(percent), "a long, b long")
-    with small_batches(spark):
-        linked = stage(links.repartition(partitions_for(n_live, ROWS)), "linked")
+    near = _blocks(live, NEAR_DOCS, NEAR_ELEMENTS, "size", "sketch").groupBy("unit").applyInPandas(_narrower(percent), "a long, b long")
+    closer, n_close = components(near, 2 * n_live, "closer")
+    # Rows that share an id are one document here, of the size of its largest.
+    largest = live.groupBy("id").agg(F.max("size").alias("size")).withColumn("band", band)
+    units = stage(narrow(_blocks(_members(closer).join(largest, "id"), BLOCK_DOCS, BLOCK_ELEMENTS), 8 * n_close), "units")
+    discard(live)
+    linked = _verified(rows, units, k, percent)
     labels, _ = components(linked.unionByName(copies), n_live + n_copies, "links")
     return found.where(F.col("kind") == DOC).select(F.col("a").alias("id"), F.col("b").alias("n_shingles")).join(
         labels, F.col("id") == F.col("node"), "left"

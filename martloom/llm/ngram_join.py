@@ -47,7 +47,7 @@ GROUP_CHARS = 4 << 20  # texts signed together in a task
 KEY_BYTES = 24 << 20  # bytes of text whose signatures meet in one task
 SAMPLE_DOCS, FREQUENT, MOST_FREQUENT = 5000, 3, 200_000
 BLOCK_DOCS, BLOCK_ELEMENTS = 512, 4 << 20
-NEAR_DOCS, NEAR_ELEMENTS = 8192, 1 << 40  # of blocks of sketches, whose size is bounded by their width
+NEAR_DOCS, NEAR_ELEMENTS = 2048, 1 << 40  # of blocks of sketches, whose size is bounded by their width
 MOST_WORDS = 64  # of a sketch, 64 bits each
 SENT = 500_000  # rows that say where sets go, sent to all tasks at once
 RARE = 0.35  # share of a band's size that must remain to leave frequent shingles out
